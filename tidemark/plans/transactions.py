@@ -144,6 +144,8 @@ def apply(
     on_missing: str = "null",
 ) -> int:
     """The same for frames already at hand, as a streaming batch has them; ``label`` names the run's records."""
+    # Written before it is split by key, so that the dump is parsed once.
+    flat = materialize(flat, "extracted")
     tagged = materialize(clean_transactions(survivors(flat)), "transactions")
     delta = delta_detect(
         Q.good_rows(tagged).drop("updated_time", CORRUPT, "source_path"),

@@ -14,31 +14,35 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+TEXT, LONG, DOUBLE, DAY = T.StringType(), T.LongType(), T.DoubleType(), T.DateType()
+MOMENT, LOCAL_MOMENT, MONEY = T.TimestampType(), T.TimestampNTZType(), T.DecimalType(18, 2)
 
 
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+CONTACT = _struct(name=TEXT, email=TEXT)
+CURRENCY_DATA = _struct(originalCurrencyAmount=TEXT, exponent=TEXT, originalCurrencyCode=TEXT)
+
 RAW = {
-    "agents": _ddl(
-        "id STRING, contact STRUCT<name: STRING, email: STRING>, created_at STRING, updated_at STRING"
-    ),
-    "agent_details": _ddl(
-        "id STRING, contact STRUCT<name: STRING, email: STRING>, created_at STRING, updated_at STRING, "
-        "group_ids ARRAY<STRING>, role_ids ARRAY<STRING>"
+    "agents": _struct(id=TEXT, contact=CONTACT, created_at=TEXT, updated_at=TEXT),
+    "agent_details": _struct(
+        id=TEXT, contact=CONTACT, created_at=TEXT, updated_at=TEXT,
+        group_ids=T.ArrayType(TEXT), role_ids=T.ArrayType(TEXT),
     ),
-    "roles": _ddl("id STRING, name STRING, description STRING"),
-    "admin_groups": _ddl(
-        "id STRING, name STRING, description STRING, parent_group_id STRING, agent_ids ARRAY<STRING>, "
-        "created_at STRING, updated_at STRING"
+    "roles": _struct(id=TEXT, name=TEXT, description=TEXT),
+    "admin_groups": _struct(
+        id=TEXT, name=TEXT, description=TEXT, parent_group_id=TEXT, agent_ids=T.ArrayType(TEXT),
+        created_at=TEXT, updated_at=TEXT,
     ),
-    "cards": _ddl("id STRING, name STRING, lastFour STRING, type STRING, status STRING"),
-    "budgets": _ddl("id STRING, name STRING, description STRING"),
-    "transactions": _ddl(
-        "id STRING, transactionType STRING, transactionDate STRING, occurredTime STRING, updatedTime STRING, "
-        "merchantName STRING, currencyData STRUCT<originalCurrencyAmount: STRING, exponent: STRING, "
-        "originalCurrencyCode: STRING>, cardId STRING, budgetId STRING"
+    "cards": _struct(id=TEXT, name=TEXT, lastFour=TEXT, type=TEXT, status=TEXT),
+    "budgets": _struct(id=TEXT, name=TEXT, description=TEXT),
+    "transactions": _struct(
+        id=TEXT, transactionType=TEXT, transactionDate=TEXT, occurredTime=TEXT, updatedTime=TEXT,
+        merchantName=TEXT, currencyData=CURRENCY_DATA, cardId=TEXT, budgetId=TEXT,
     ),
-    "rates": _ddl("date STRING, usd MAP<STRING, DOUBLE>"),
+    "rates": _struct(date=TEXT, usd=T.MapType(TEXT, DOUBLE)),
 }
 
 
@@ -58,55 +62,59 @@ class TableSpec:
 
 TABLES = {
     "users": TableSpec(
-        _ddl("user_id BIGINT, user_name STRING, user_email STRING, status STRING, created_at TIMESTAMP, "
-             "updated_at TIMESTAMP"),
+        _struct(user_id=LONG, user_name=TEXT, user_email=TEXT, status=TEXT, created_at=MOMENT, updated_at=MOMENT),
         ("user_id",),
         ("user_name", "user_email", "status", "updated_at"),
     ),
     "roles": TableSpec(
-        _ddl("role_id STRING, role_name STRING, role_desc STRING"), ("role_id",), ("role_name", "role_desc")
+        _struct(role_id=TEXT, role_name=TEXT, role_desc=TEXT), ("role_id",), ("role_name", "role_desc")
     ),
     # Link tables are replaced parent by parent and never merged on their full key, so they carry no buckets:
     # a bucket per parent would put one hot parent into a single file.
     "user_roles": TableSpec(
-        _ddl("user_id BIGINT, role_id STRING, role_name STRING"), ("user_id", "role_id"), bucketed=False
+        _struct(user_id=LONG, role_id=TEXT, role_name=TEXT), ("user_id", "role_id"), bucketed=False
     ),
     "groups": TableSpec(
-        _ddl("group_id BIGINT, group_name STRING, description STRING, parent_group_id BIGINT, status STRING, "
-             "created_at TIMESTAMP, updated_at TIMESTAMP"),
+        _struct(
+            group_id=LONG, group_name=TEXT, description=TEXT, parent_group_id=LONG, status=TEXT,
+            created_at=MOMENT, updated_at=MOMENT,
+        ),
         ("group_id",),
         ("group_name", "description", "parent_group_id", "status", "updated_at"),
     ),
     "group_members": TableSpec(
-        _ddl("group_id BIGINT, user_id BIGINT, user_status STRING"), ("group_id", "user_id"), bucketed=False
+        _struct(group_id=LONG, user_id=LONG, user_status=TEXT), ("group_id", "user_id"), bucketed=False
     ),
     "cards": TableSpec(
-        _ddl("card_id STRING, card_name STRING, card_last_four STRING, card_type STRING, card_status STRING"),
+        _struct(card_id=TEXT, card_name=TEXT, card_last_four=TEXT, card_type=TEXT, card_status=TEXT),
         ("card_id",),
         ("card_name", "card_status"),
     ),
     "budgets": TableSpec(
-        _ddl("budget_id STRING, budget_name STRING, budget_description STRING"),
+        _struct(budget_id=TEXT, budget_name=TEXT, budget_description=TEXT),
         ("budget_id",),
         ("budget_name", "budget_description"),
     ),
     "transactions": TableSpec(
-        _ddl("transaction_id STRING, transaction_type STRING, transaction_date DATE, "
-             "original_amount DECIMAL(18,2), currency_code STRING, exchange_rate DOUBLE, "
-             "amount_usd DECIMAL(18,2), merchant_name STRING, card_id STRING, budget_id STRING, "
-             "created_at TIMESTAMP_NTZ"),
+        _struct(
+            transaction_id=TEXT, transaction_type=TEXT, transaction_date=DAY, original_amount=MONEY,
+            currency_code=TEXT, exchange_rate=DOUBLE, amount_usd=MONEY, merchant_name=TEXT, card_id=TEXT,
+            budget_id=TEXT, created_at=LOCAL_MOMENT,
+        ),
         ("transaction_id",),
         ("amount_usd", "original_amount", "exchange_rate", "merchant_name", "card_id", "budget_id",
          "transaction_date"),
     ),
     "transaction_cards": TableSpec(
-        _ddl("transaction_id STRING, card_id STRING, card_name STRING, card_last_four STRING, "
-             "card_type STRING, card_status STRING"),
+        _struct(
+            transaction_id=TEXT, card_id=TEXT, card_name=TEXT, card_last_four=TEXT, card_type=TEXT,
+            card_status=TEXT,
+        ),
         ("transaction_id", "card_id"),
         ("card_name",),
     ),
     "transaction_budgets": TableSpec(
-        _ddl("transaction_id STRING, budget_id STRING, budget_name STRING, budget_description STRING"),
+        _struct(transaction_id=TEXT, budget_id=TEXT, budget_name=TEXT, budget_description=TEXT),
         ("transaction_id", "budget_id"),
         ("budget_name",),
     ),
