@@ -33,8 +33,20 @@ def optional_col(df: DataFrame, path: str, data_type: str | T.DataType = "string
     return F.col(path).try_cast(data_type).alias(alias)
 
 
+# A failed numeric cast costs a hundred times a good one, because it goes through an exception. Texts that cannot
+# be numbers are therefore turned away by their shape, so that a dump full of bad values is no slower than a good one.
+INTEGER_SHAPE = r"^\s*[+-]?[0-9]+\s*$"
+DECIMAL_SHAPE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def safe_id(column: Column) -> Column:
-    return column.try_cast("bigint")
+    text = column.cast("string")
+    return F.when(text.rlike(INTEGER_SHAPE), text.try_cast("bigint"))
+
+
+def safe_decimal(column: Column, kind: T.DecimalType) -> Column:
+    text = column.cast("string")
+    return F.when(text.rlike(DECIMAL_SHAPE), text.try_cast(kind))
 
 
 def safe_timestamp(column: Column) -> Column:
@@ -62,7 +74,7 @@ def empty_if_null(array: Column, element: str = "bigint") -> Column:
 
 def id_array(array: Column) -> Column:
     """Element-wise safe cast; an element that is no number becomes null."""
-    return F.transform(array, lambda item: item.try_cast("bigint"))
+    return F.transform(array, safe_id)
 
 
 def csv_to_array(text: Column) -> Column:
@@ -92,9 +104,9 @@ def minor_units(amount: Column, exponent: Column) -> Column:
 
     Decimal arithmetic throughout: the power of ten is turned into an exact decimal before it is applied.
     """
-    digits = F.coalesce(exponent.try_cast("int"), F.lit(0))
+    digits = F.coalesce(safe_id(exponent).try_cast("int"), F.lit(0))
     factor = F.pow(F.lit(10.0), -digits).try_cast(T.DecimalType(18, 12))
-    return F.try_multiply(amount.try_cast(T.DecimalType(24, 6)), factor).try_cast(MONEY)
+    return F.try_multiply(safe_decimal(amount, T.DecimalType(24, 6)), factor).try_cast(MONEY)
 
 
 def day_of(timestamp_text: Column) -> Column:

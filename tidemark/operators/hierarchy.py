@@ -106,21 +106,17 @@ def group_activity(groups: DataFrame, direct: DataFrame, method: str = "auto") -
 def leading_into_cycles(edges: DataFrame) -> DataFrame:
     """Edges of the nodes whose chain of parents never ends: those on a cycle and those below one.
 
-    After k doublings exactly the nodes with a chain of at least 2**k parents are left. Once every node left
-    has its own parent among them, no chain can end any more. Rounds: about log2 of the deepest proper chain.
+    After k doublings exactly the nodes with a chain of at least 2**k parents are left. A chain that ends passes
+    through every shorter length on its way, so once a doubling drops no node, no chain left can end. Rounds: about
+    log2 of the deepest proper chain.
     """
-    return _trapped(_written_edges(edges))
-
-
-def _trapped(edges: DataFrame) -> DataFrame:
-    jumps = edges
+    edges = _written_edges(edges)
+    jumps, left = edges, None
     for _ in range(ROUND_LIMIT):
-        left = jumps.select("child")
-        remaining = edges.join(left, "child", "left_semi")
-        outside = remaining.join(left.select(F.col("child").alias("parent")), "parent", "left_anti")
-        if outside.isEmpty():
-            return materialize(remaining, "trapped")
-        jumps = materialize(_double(jumps), "jumps")
+        jumps, remaining = counted(_double(jumps), "jumps")
+        if remaining in (0, left):
+            return materialize(edges.join(jumps.select("child"), "child", "left_semi"), "trapped")
+        left = remaining
     raise NoConvergence("chains did not settle")
 
 
@@ -153,11 +149,27 @@ def closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
     from the node to the ancestor.
     """
     edges = _written_edges(edges)
-    trapped = _trapped(edges)
-    proper = edges.join(trapped.select("child"), "child", "left_anti")
-    pairs = _compose(_as_pairs(proper, with_path))
-    if not trapped.isEmpty():
-        pairs = pairs.unionByName(_compose_shortest(_as_pairs(trapped, with_path)))
+    known = Rounds(edges.sparkSession, "pairs")
+    at_reach = known.add(_as_pairs(edges, with_path))
+    reach = 1
+    for _ in range(ROUND_LIMIT):
+        outermost = known.all().filter(F.col("depth") == reach)
+        reach *= 2
+        known.add(_extend(outermost, known.all()), at_reach=F.count_if(F.col("depth") == reach))
+        remaining = known.seen["at_reach"]
+        if remaining in (0, at_reach):
+            break
+        at_reach = remaining
+    else:
+        raise NoConvergence("closure did not settle")
+    pairs = known.all()
+    if remaining:
+        # As in leading_into_cycles: a reach that no node falls short of any more means that none ever will.
+        trapped = pairs.filter(F.col("depth") == reach).select("node").distinct()
+        inside = edges.join(trapped, F.col("child") == F.col("node"), "left_semi")
+        pairs = pairs.join(trapped, "node", "left_anti").unionByName(
+            _compose_shortest(_as_pairs(inside, with_path))
+        )
     return pairs.withColumn("in_cycle", F.col("node") == F.col("ancestor"))
 
 
@@ -182,19 +194,6 @@ def _extend(lower: DataFrame, upper: DataFrame) -> DataFrame:
     return lower.join(carried, F.col("ancestor") == F.col("_up_node")).select(*columns)
 
 
-def _compose(pairs: DataFrame) -> DataFrame:
-    """Acyclic closure by doubling: the pairs at the present reach are carried on by everything known."""
-    known = Rounds(pairs.sparkSession, "pairs")
-    known.add(pairs)
-    reach = 1
-    for _ in range(ROUND_LIMIT):
-        outermost = known.all().filter(F.col("depth") == reach)
-        if not known.add(_extend(outermost, known.all())):
-            return known.all()
-        reach *= 2
-    raise NoConvergence("closure did not settle")
-
-
 def _compose_shortest(pairs: DataFrame) -> DataFrame:
     """Closure where chains never end: one row per pair, the shortest way, until no pair is added."""
     known, size = counted(pairs, "pairs")

@@ -33,7 +33,13 @@ def self_loop(key: str, parent: str) -> Rule:
 
 
 def not_listed(name: str, allowed: Sequence[str]) -> Rule:
-    return Rule(f"unknown_{name}", ~F.col(name).isin(list(allowed)))
+    return Rule(f"unknown_{name}", ~is_listed(name, allowed))
+
+
+def is_listed(name: str, allowed: Sequence[str]) -> Column:
+    """Membership in a fixed list of texts, which Spark tests as one hash set; null for a missing value."""
+    quoted = ", ".join("'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'" for text in allowed)
+    return F.expr(f"`{name}` IN ({quoted})")
 
 
 def digits_only(name: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,18 +32,18 @@ class Rounds:
         self._base = f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
         self._paths: list[str] = []
         self._schema = None
-        self.rows = 0
+        self.seen: dict = {}
 
-    def add(self, df: DataFrame) -> int:
-        """Write one more round; the number of its rows comes from the same job."""
+    def add(self, df: DataFrame, **figures: Column) -> int:
+        """Write one more round; the number of its rows, and any aggregate ``figures``, come from the same job."""
         path = f"{self._base}/{len(self._paths)}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        wanted = [F.count(F.lit(1)).alias("rows"), *[column.alias(name) for name, column in figures.items()]]
+        df.observe(seen, *wanted).write.parquet(path)
         self._paths.append(path)
         self._schema = self._schema or df.schema
-        rows = seen.get["rows"]
-        self.rows += rows
-        return rows
+        self.seen = seen.get
+        return self.seen["rows"]
 
     def _read(self, paths: list[str]) -> DataFrame:
         return self._spark.read.schema(self._schema).parquet(*paths)

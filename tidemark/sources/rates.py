@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.currencies import CURRENCY_CODES
+from tidemark.operators.quality import is_listed
 
 RATE_MAP = "map<string,double>"
 
@@ -46,7 +47,7 @@ def rates_from_documents(
             ).alias("q"),
         )
         .select("rate_date", "q.currency", "q.units")
-        .filter(F.col("currency").isin(list(codes)) & F.col("units").isNotNull() & (F.col("units") != 0))
+        .filter(is_listed("currency", codes) & F.col("units").isNotNull() & (F.col("units") != 0))
     )
     rate = F.when(F.col("currency") == "USD", F.lit(1.0)).otherwise(F.lit(1.0) / F.col("units"))
     # Two documents for one day: the larger quote wins, whatever order the files are read in.
