@@ -156,6 +156,14 @@ def test_junctions_of_later_transactions_are_kept(spark, synced):
     assert counts == {"transactions": (10, 4, 6), "conversion": (3, 2, 1)}
 
 
+def test_every_merged_table_keeps_one_file_per_bucket(spark, synced):
+    _, store, _, _ = synced
+    for name, spec in TABLES.items():
+        if spec.bucketed:
+            files = spark.read.format("binaryFile").load(store._entries[name]["path"]).select("path").count()
+            assert files <= store.buckets, name
+
+
 def test_returning_user_becomes_active(spark, synced, tmp_path):
     root, store, _, _ = synced
     sync_days(spark, str(root), ["day1"], store, NOW)

@@ -187,3 +187,10 @@ def test_late_repeats_are_dropped_in_a_stream(spark, tmp_path):
     query = flat.writeStream.format("memory").queryName("repeats").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("repeats").count() == 1
+
+
+def test_old_versions_are_listed_for_removal(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "s"))
+    for name in ("a", "b", "c"):
+        store.commit({"roles": spark.createDataFrame([("r", name, "d")], TABLES["roles"].schema)})
+    assert store.superseded(keep=1).count() == 2 and store.superseded(keep=3).count() == 0

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tidemark.operators.reconcile import dedup_latest
+from tidemark.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -29,11 +30,12 @@ def junction(fact: DataFrame, dimension: DataFrame, fact_key: str, key: str) ->
 
 
 def build_star(fact: DataFrame, cards: DataFrame, budgets: DataFrame) -> Star:
-    card_dim = referenced_dimension(cards, fact, "card_id")
-    budget_dim = referenced_dimension(budgets, fact, "budget_id")
+    """The four frames around a fact that is already written; each is written once and read by several merges."""
+    card_dim = materialize(referenced_dimension(cards, fact, "card_id"), "cards")
+    budget_dim = materialize(referenced_dimension(budgets, fact, "budget_id"), "budgets")
     return Star(
         card_dim,
         budget_dim,
-        junction(fact, card_dim, "transaction_id", "card_id"),
-        junction(fact, budget_dim, "transaction_id", "budget_id"),
+        materialize(junction(fact, card_dim, "transaction_id", "card_id"), "transaction-cards"),
+        materialize(junction(fact, budget_dim, "transaction_id", "budget_id"), "transaction-budgets"),
     )

@@ -11,6 +11,7 @@ from tidemark.operators import links as L
 from tidemark.operators import quality as Q
 from tidemark.operators.hierarchy import group_activity
 from tidemark.operators.reconcile import dedup_latest, reconcile_snapshot, replace_children
+from tidemark.plans.inputs import metrics, stage
 from tidemark.schemas import CORRUPT, RAW
 from tidemark.scratch import materialize
 from tidemark.sources.snapshots import read_entity
@@ -72,8 +73,10 @@ def build_groups(
         gone = stored_groups.join(unique.select("group_id"), "group_id", "left_anti")
         forest = forest.unionByName(gone.select("group_id", "parent_group_id"))
     status = group_activity(forest, L.direct_activity(members), method).withColumnRenamed("status", "derived")
+    # Written, the snapshot has no layout of its own, so the merge adopts the buckets of what is stored.
+    fresh = materialize(unique.drop("user_ids").join(status, "group_id", "left"), "groups")
     groups = reconcile_snapshot(
-        unique.drop("user_ids").join(status, "group_id", "left"),
+        fresh,
         stored_groups,
         ["group_id"],
         coalesce_cols=["group_name", "description", "updated_at"],
@@ -91,13 +94,13 @@ def build_groups(
 def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     """Sync one day's groups; needs the day's users to be committed, for the members' status."""
     raw = read_entity(spark, root, day, "admin_groups", RAW["admin_groups"])
-    tagged = materialize(clean_groups(raw), "groups")
-    store.record("quarantine", day, "groups", Q.quarantine_record(Q.bad_rows(tagged), "groups"))
-    store.record("metrics", day, "groups", Q.stage_metrics(tagged, "groups"))
-    if tagged.isEmpty():
+    checked = stage(clean_groups(raw), "groups")
+    store.record("quarantine", day, "groups", Q.quarantine_record(checked.bad, "groups"))
+    store.record("metrics", day, "groups", metrics(spark, checked))
+    if not checked.rows_in:
         return store.version
     sync = build_groups(
-        Q.good_rows(tagged), store.read("users"), store.read("groups"), store.read("group_members"), **options
+        checked.good, store.read("users"), store.read("groups"), store.read("group_members"), **options
     )
     return store.commit(
         {"groups": sync.groups, "group_members": sync.group_members},

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.schemas import CORRUPT, RAW
-from tidemark.scratch import materialize
+from tidemark.scratch import materialize, measured
 from tidemark.sources.snapshots import read_entity
 
 
@@ -24,3 +26,36 @@ def tag_side(raw: DataFrame) -> DataFrame:
 
 def unusable(raw: DataFrame, entity: str) -> DataFrame:
     return Q.quarantine_record(Q.bad_rows(tag_side(raw)), entity)
+
+
+@dataclass(frozen=True)
+class Stage:
+    """Tagged rows, written once, with the counts taken in the same job."""
+
+    name: str
+    tagged: DataFrame
+    rows_in: int
+    rows_failed: int
+
+    @property
+    def rows_ok(self) -> int:
+        return self.rows_in - self.rows_failed
+
+    @property
+    def good(self) -> DataFrame:
+        return Q.good_rows(self.tagged)
+
+    @property
+    def bad(self) -> DataFrame:
+        return Q.bad_rows(self.tagged)
+
+
+def stage(tagged: DataFrame, name: str) -> Stage:
+    written, seen = measured(tagged, name, failed=F.count_if(F.size(Q.REASONS) > 0))
+    return Stage(name, written, seen["rows"], seen["failed"])
+
+
+def metrics(spark, *stages: Stage) -> DataFrame:
+    """Rows seen, kept and failed per stage."""
+    lines = [(s.name, s.rows_in, s.rows_ok, s.rows_failed) for s in stages]
+    return spark.createDataFrame(lines, "stage string, rows_in bigint, rows_ok bigint, rows_failed bigint").coalesce(1)

@@ -12,7 +12,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
 from tidemark.operators.reconcile import dedup_latest, delta_detect, merge_upsert
 from tidemark.operators.star import Star, build_star
-from tidemark.plans.inputs import load, unusable
+from tidemark.plans.inputs import load, metrics, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, empty
 from tidemark.scratch import materialize
 from tidemark.sources.rates import rates_from_documents
@@ -94,7 +94,11 @@ def convert(delta: DataFrame, rates: DataFrame, on_missing: str = "null") -> Dat
 
 
 def merge_all(store: StateStore, fact: DataFrame, star: Star, sync_time: datetime) -> dict[str, DataFrame]:
-    """The five tables after the merge, each on its own key and with its own list of updated columns."""
+    """The five tables after the merge, each on its own key and with its own list of updated columns.
+
+    Sources are written tables: they bring no layout of their own, so each merge adopts the buckets of what is
+    stored and shuffles the delta only.
+    """
     sources = {
         "cards": star.cards,
         "budgets": star.budgets,
@@ -146,25 +150,24 @@ def apply(
     """The same for frames already at hand, as a streaming batch has them; ``label`` names the run's records."""
     # Written before it is split by key, so that the dump is parsed once.
     flat = materialize(flat, "extracted")
-    tagged = materialize(clean_transactions(survivors(flat)), "transactions")
+    checked = stage(clean_transactions(survivors(flat)), "transactions")
     delta = delta_detect(
-        Q.good_rows(tagged).drop("updated_time", CORRUPT, "source_path"),
+        checked.good.drop("updated_time", CORRUPT, "source_path"),
         store.read("transactions"),
         ["transaction_id"],
         compare_cols,
     )
     # Pinned before anything is committed: fact, dimensions and junctions all see the same delta.
-    converted = materialize(convert(delta, rates, on_missing), "converted")
-    fact = Q.good_rows(converted)
-    star = build_star(fact, cards, budgets)
-    faults = Q.quarantine_record(Q.bad_rows(tagged), "transactions").unionByName(
-        Q.quarantine_record(Q.bad_rows(converted), "transactions")
+    converted = stage(convert(delta, rates, on_missing), "conversion")
+    faults = Q.quarantine_record(checked.bad, "transactions").unionByName(
+        Q.quarantine_record(converted.bad, "transactions")
     )
     store.record("quarantine", label, "transactions", faults)
-    metrics = Q.stage_metrics(tagged, "transactions").unionByName(Q.stage_metrics(converted, "conversion"))
-    store.record("metrics", label, "transactions", metrics)
-    if fact.isEmpty():
+    store.record("metrics", label, "transactions", metrics(flat.sparkSession, checked, converted))
+    if not converted.rows_ok:
         return store.version
+    fact = converted.good
+    star = build_star(fact, cards, budgets)
     frames = merge_all(store, fact, star, sync_time)
     return store.commit(frames, laid_out={name for name in frames if store.aligned(name)})
 

@@ -23,7 +23,7 @@ from tidemark.operators.reconcile import (
     reconcile_snapshot,
     replace_children,
 )
-from tidemark.plans.inputs import load, unusable
+from tidemark.plans.inputs import load, metrics, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, conform
 from tidemark.scratch import materialize
 from tidemark.sources.snapshots import read_entity, union_fill
@@ -109,9 +109,9 @@ def build_users(
     clear_empty_parents: bool = True,
 ) -> UserSync:
     """The day's users, the roles in use and all links, from valid users and what is stored."""
-    unique = dedup_latest(
-        good.select("user_id", "user_name", "user_email", "created_at", "updated_at"), ["user_id"], ["updated_at"]
-    )
+    # Written, the snapshot has no layout of its own, so the merge adopts the buckets of what is stored.
+    columns = ["user_id", "user_name", "user_email", "created_at", "updated_at"]
+    unique = materialize(dedup_latest(good.select(*columns), ["user_id"], ["updated_at"]), "users")
     users = reconcile_snapshot(
         unique,
         stored_users,
@@ -135,23 +135,25 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     index = read_entity(spark, root, day, "agents", RAW["agents"])
     details, roles = load(spark, root, day, "agent_details"), load(spark, root, day, "roles")
     # Written once: one join and one parse serve users, links, quarantine and metrics.
-    tagged = materialize(clean_users(resolve_users(index, details)), "users")
+    checked = stage(clean_users(resolve_users(index, details)), "users")
     faults = union_fill([
-        Q.quarantine_record(Q.bad_rows(tagged), "agents"),
+        Q.quarantine_record(checked.bad, "agents"),
         unusable(details, "agent_details"),
         unusable(roles, "roles"),
     ])
     store.record("quarantine", day, "users", faults)
-    store.record("metrics", day, "users", Q.stage_metrics(tagged, "users"))
-    if tagged.isEmpty():
+    store.record("metrics", day, "users", metrics(spark, checked))
+    if not checked.rows_in:
         # No index at all is a failed delivery, not an empty company: nobody is marked inactive for it.
         return store.version
-    sync = build_users(Q.good_rows(tagged), roles, store.read("users"), store.read("user_roles"), **options)
+    sync = build_users(checked.good, roles, store.read("users"), store.read("user_roles"), **options)
     spec = TABLES["roles"]
     return store.commit(
         {
             "users": sync.users,
-            "roles": merge_upsert(store.read("roles"), sync.roles, spec.keys, spec.update_cols),
+            "roles": merge_upsert(
+                store.read("roles"), materialize(sync.roles, "roles"), spec.keys, spec.update_cols
+            ),
             "user_roles": sync.user_roles,
         },
         laid_out={t for t in ("users", "roles") if store.aligned(t)},

@@ -62,6 +62,12 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 def counted(df: DataFrame, label: str = "step") -> tuple[DataFrame, int]:
     """``df`` as a written table, and its number of rows."""
+    table, seen = measured(df, label)
+    return table, seen["rows"]
+
+
+def measured(df: DataFrame, label: str = "step", **figures: Column) -> tuple[DataFrame, dict]:
+    """``df`` as a written table, its number of rows, and aggregates taken while it was written."""
     written = Rounds(df.sparkSession, label)
-    rows = written.add(df)
-    return written.last(), rows
+    written.add(df, **figures)
+    return written.last(), written.seen

@@ -124,6 +124,12 @@ class StateStore:
         self._entries = entries
         return version
 
+    def superseded(self, keep: int = 2) -> DataFrame:
+        """Folders no manifest of the last ``keep`` versions refers to; the operator may delete them."""
+        lines = self.spark.read.schema(MANIFEST).json(f"{self.root}/_manifests")
+        kept = lines.filter(F.col("version") > self.version - keep).select("path")
+        return lines.select("path").distinct().join(kept, "path", "left_anti")
+
     # -- run records ---------------------------------------------------------------------------------------
 
     def record(self, kind: str, day: str, entity: str, df: DataFrame) -> None:
