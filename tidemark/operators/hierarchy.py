@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.scratch import Rounds, counted, materialize
 
-# Walking level by level is cheapest while few levels are left; past this many, doubling needs fewer rounds.
-LEVELS_BEFORE_DOUBLING = 12
+# A level costs one scan of the edges, a doubling round about four (it shuffles them). How deep a forest is shows
+# only on the way, so levels are climbed until they have cost about as much as doubling would have.
+LEVELS_BEFORE_DOUBLING = 20
 # A doubling loop covers 2**rounds levels, so no data that fits anywhere gets this far.
 ROUND_LIMIT = 64
 
