@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from tests.two_days import _payment, _write
 from tidemark.operators import quality as Q
 from tidemark.plans import transactions
+from tidemark.plans.inputs import mistyped_files
 from tidemark.plans.transactions import extract_budgets, extract_transactions, survivors
 from tidemark.plans.users import PLACEHOLDER_EMAIL, UNKNOWN_NAME, clean_users, resolve_users
 from tidemark.schemas import CORRUPT, RAW, TABLES, TableSpec, conform, empty
@@ -62,6 +63,18 @@ def test_truncated_json_goes_to_quarantine(spark, tmp_path):
     assert len(bad) == 1 and "corrupt_record" in bad[0].reasons and bad[0][CORRUPT].startswith("[{")
 
 
+def test_one_mistyped_record_does_not_cost_the_others(spark, tmp_path):
+    good = [{"id": n, "contact": {"name": f"n{n}", "email": f"n{n}@example.org"}} for n in range(3)]
+    _write(tmp_path, "d", "agents", "1.json", [*good, {"id": 9, "contact": "none"}])
+    index = read_entity(spark, str(tmp_path), "d", "agents", RAW["agents"])
+    tagged = clean_users(resolve_users(index, empty(spark, NO_DETAILS)))
+    assert {(r.user_id, r.user_name) for r in Q.good_rows(tagged).collect()} == {
+        (0, "n0"), (1, "n1"), (2, "n2"), (9, UNKNOWN_NAME)
+    }
+    lines = mistyped_files(tagged, "agents").collect()
+    assert [r.reasons for r in lines] == [["mistyped_field"]] and "1.json" in lines[0].record
+
+
 def test_json_lines(spark, tmp_path):
     _write(tmp_path, "d", "roles", "1.json", '{"id": 1}\n{"results": [{"id": 2}, {"id": 3}]}\n')
     got = read_entity(spark, str(tmp_path), "d", "roles", RAW["roles"], multiline=False)

@@ -38,7 +38,7 @@ def _payment(name: str, amount: str, exponent: int, code: str, card: str, budget
         "id": name, "transactionType": "AUTHORIZATION", "merchantName": f"shop {name}",
         "currencyData": {"exchangeRate": 1, "exponent": exponent, "originalCurrencyAmount": amount,
                          "originalCurrencyCode": code, "symbol": "x"},
-        "occurredTime": "2026-01-05T21:07:59.000+00:00", "updatedTime": "2026-01-05T21:17:27.000+00:00",
+        "occurredTime": "2026-01-05T09:15:00.000+00:00", "updatedTime": "2026-01-05T09:20:00.000+00:00",
         "cardId": card, "budgetId": budget, "tags": [{"isRequired": True, "selectedTagValues": ["a"]}], **more,
     }
 
@@ -73,9 +73,9 @@ def write_days(root: Path) -> None:
         _group(3, "sec", 2, [12, 15]), _group(4, "desk", 1, [12, 13, 11, 16]), _group(5, "lab", 1, [14, 13, 11, 16]),
     ])
     payments = [
-        _payment("t1", "4637", 2, "USD", "c1", "b1"), _payment("t2", "149722", 2, "USD", "c2", "b2"),
-        _payment("t3", "7461", 2, "USD", "c3", "b2"), _payment("t4", "4860", 2, "USD", "c4", "b3"),
-        _payment("t5", "16181", 2, "USD", "c5", "b4"), _payment("t6", "144327", 2, "USD", "c6", "b4"),
+        _payment("t1", "2310", 2, "USD", "c1", "b1"), _payment("t2", "99900", 2, "USD", "c2", "b2"),
+        _payment("t3", "7500", 2, "USD", "c3", "b2"), _payment("t4", "640", 2, "USD", "c4", "b3"),
+        _payment("t5", "21050", 2, "USD", "c5", "b4"), _payment("t6", "130005", 2, "USD", "c6", "b4"),
         _payment("t7", "12559", 2, "GBP", "c6", "b4"),
     ]
     _write(root, "day1", "transactions", "1.json", {"results": payments})

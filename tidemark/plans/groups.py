@@ -11,10 +11,10 @@ from tidemark.operators import links as L
 from tidemark.operators import quality as Q
 from tidemark.operators.hierarchy import group_activity
 from tidemark.operators.reconcile import dedup_latest, reconcile_snapshot, replace_children
-from tidemark.plans.inputs import metrics, stage
-from tidemark.schemas import CORRUPT, RAW
+from tidemark.plans.inputs import metrics, mistyped_files, stage
+from tidemark.schemas import CORRUPT, RAW, unreadable
 from tidemark.scratch import materialize
-from tidemark.sources.snapshots import read_entity
+from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
 
 
@@ -42,7 +42,7 @@ def clean_groups(raw: DataFrame) -> DataFrame:
     return Q.tag_faults(
         typed,
         [
-            Q.Rule("corrupt_record", F.col(CORRUPT).isNotNull()),
+            Q.Rule("corrupt_record", unreadable()),
             Q.Rule("bad_key", F.col("group_id").isNull()),
             Q.missing("group_name"),
             Q.self_loop("group_id", "parent_group_id"),
@@ -95,7 +95,8 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     """Sync one day's groups; needs the day's users to be committed, for the members' status."""
     raw = read_entity(spark, root, day, "admin_groups", RAW["admin_groups"])
     checked = stage(clean_groups(raw), "groups")
-    store.record("quarantine", day, "groups", Q.quarantine_record(checked.bad, "groups"))
+    faults = union_fill([Q.quarantine_record(checked.bad, "groups"), mistyped_files(checked.tagged, "groups")])
+    store.record("quarantine", day, "groups", faults)
     store.record("metrics", day, "groups", metrics(spark, checked))
     if not checked.rows_in:
         return store.version

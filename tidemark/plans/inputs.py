@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import quality as Q
-from tidemark.schemas import CORRUPT, RAW
+from tidemark.schemas import CORRUPT, MISTYPED, RAW, unreadable
 from tidemark.scratch import materialize, measured
 from tidemark.sources.snapshots import read_entity
 
@@ -20,12 +20,19 @@ def load(spark, root: str, day: str, entity: str) -> DataFrame:
 def tag_side(raw: DataFrame) -> DataFrame:
     """Records of a supporting entity (details, roles, cards, budgets), tagged when unreadable or without id."""
     return Q.tag_faults(
-        raw, [Q.Rule("corrupt_record", F.col(CORRUPT).isNotNull()), Q.missing("id", F.col("id").cast("string"))]
+        raw, [Q.Rule("corrupt_record", unreadable()), Q.missing("id", F.col("id").cast("string"))]
     )
 
 
 def unusable(raw: DataFrame, entity: str) -> DataFrame:
-    return Q.quarantine_record(Q.bad_rows(tag_side(raw)), entity)
+    """Quarantine lines of a supporting entity: its bad records, and its files with a mistyped field."""
+    return Q.quarantine_record(Q.bad_rows(tag_side(raw)), entity).unionByName(mistyped_files(raw, entity))
+
+
+def mistyped_files(records: DataFrame, entity: str) -> DataFrame:
+    """One quarantine line per file in which a field had to be read as null because of its type."""
+    files = records.filter(F.col(CORRUPT) == MISTYPED).select("source_path").distinct()
+    return Q.quarantine_record(files.withColumn(Q.REASONS, F.array(F.lit("mistyped_field"))), entity)
 
 
 @dataclass(frozen=True)

@@ -12,8 +12,8 @@ from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
 from tidemark.operators.reconcile import dedup_latest, delta_detect, merge_upsert
 from tidemark.operators.star import Star, build_star
-from tidemark.plans.inputs import load, metrics, stage, unusable
-from tidemark.schemas import CORRUPT, RAW, TABLES, empty
+from tidemark.plans.inputs import load, metrics, mistyped_files, stage, unusable
+from tidemark.schemas import CORRUPT, RAW, TABLES, empty, unreadable
 from tidemark.scratch import materialize
 from tidemark.sources.rates import rates_from_documents
 from tidemark.sources.snapshots import read_entity, union_fill
@@ -63,7 +63,7 @@ def clean_transactions(flat: DataFrame) -> DataFrame:
     return Q.tag_faults(
         flat,
         [
-            Q.Rule("corrupt_record", F.col(CORRUPT).isNotNull()),
+            Q.Rule("corrupt_record", unreadable()),
             Q.missing("transaction_id"),
             Q.missing("card_id"),
             Q.missing("budget_id"),
@@ -159,9 +159,11 @@ def apply(
     )
     # Pinned before anything is committed: fact, dimensions and junctions all see the same delta.
     converted = stage(convert(delta, rates, on_missing), "conversion")
-    faults = Q.quarantine_record(checked.bad, "transactions").unionByName(
-        Q.quarantine_record(converted.bad, "transactions")
-    )
+    faults = union_fill([
+        Q.quarantine_record(checked.bad, "transactions"),
+        Q.quarantine_record(converted.bad, "transactions"),
+        mistyped_files(checked.tagged, "transactions"),
+    ])
     store.record("quarantine", label, "transactions", faults)
     store.record("metrics", label, "transactions", metrics(flat.sparkSession, checked, converted))
     if not converted.rows_ok:

@@ -23,8 +23,8 @@ from tidemark.operators.reconcile import (
     reconcile_snapshot,
     replace_children,
 )
-from tidemark.plans.inputs import load, metrics, stage, unusable
-from tidemark.schemas import CORRUPT, RAW, TABLES, conform
+from tidemark.plans.inputs import load, metrics, mistyped_files, stage, unusable
+from tidemark.schemas import CORRUPT, RAW, TABLES, conform, unreadable
 from tidemark.scratch import materialize
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
@@ -84,7 +84,7 @@ def clean_users(resolved: DataFrame) -> DataFrame:
     return Q.tag_faults(
         typed,
         [
-            Q.Rule("corrupt_record", F.col(CORRUPT).isNotNull()),
+            Q.Rule("corrupt_record", unreadable()),
             Q.Rule("bad_key", F.col("user_id").isNull()),
             Q.missing("user_name"),
             Q.missing("user_email"),
@@ -138,6 +138,7 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     checked = stage(clean_users(resolve_users(index, details)), "users")
     faults = union_fill([
         Q.quarantine_record(checked.bad, "agents"),
+        mistyped_files(checked.tagged, "agents"),
         unusable(details, "agent_details"),
         unusable(roles, "roles"),
     ])

@@ -12,6 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# Stands in CORRUPT for records of a file in which some field is not of its declared type and was read as null.
+MISTYPED = "a field of this file is not of its declared type"
+
+
+def unreadable() -> Column:
+    """True for a record nothing could be parsed of."""
+    return F.col(CORRUPT).isNotNull() & (F.col(CORRUPT) != MISTYPED)
 
 
 TEXT, LONG, DOUBLE, DAY = T.StringType(), T.LongType(), T.DoubleType(), T.DateType()

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CORRUPT, empty
+from tidemark.schemas import CORRUPT, MISTYPED, empty
 
 LINEAGE = T.StructField("source_path", T.StringType())
 FORMATS = ("json", "csv", "parquet")
@@ -63,26 +63,43 @@ def _from_native(df: DataFrame, field: T.StructField) -> Column:
     return column.try_cast(field.dataType).alias(field.name)
 
 
-def _read_json(spark: SparkSession, path: str, entity: T.StructType, multiline: bool) -> DataFrame:
-    """Bare records and ``{"results": [...]}`` pages, mixed as they come, in one scan and without inference."""
-    names = entity.fieldNames()
-    page = T.StructType([
+def page_schema(entity: T.StructType) -> T.StructType:
+    """Schema under which a bare record and a ``{"results": [...]}`` page both parse."""
+    return T.StructType([
         *entity.fields,
         T.StructField("results", T.ArrayType(entity)),
         T.StructField(CORRUPT, T.StringType()),
     ])
+
+
+def page_records(raw: DataFrame, entity: T.StructType) -> DataFrame:
+    """Rows of the entity from bare records and pages, mixed as they come, with lineage.
+
+    When one record of a multi-line file has a mistyped field, Spark reports the text of the whole file with every
+    record in it. The text is kept where nothing could be parsed. Records that did parse are good but for that field,
+    which is null; a remark stands for the text there, and the path tells the file.
+    """
+    names = entity.fieldNames()
+    parsed = F.coalesce(F.col("results").isNotNull(), F.lit(False))
+    for name in names:
+        parsed = parsed | F.col(f"`{name}`").isNotNull()
+    trouble = F.when(F.col(CORRUPT).isNotNull() & parsed, F.lit(MISTYPED)).otherwise(F.col(CORRUPT))
+    records = F.coalesce(F.col("results"), F.array(F.struct(*[F.col(f"`{name}`") for name in names])))
+    return raw.select(
+        F.explode(records).alias("r"), trouble.alias(CORRUPT), F.col("_metadata.file_path").alias("source_path")
+    ).select("r.*", CORRUPT, "source_path")
+
+
+def _read_json(spark: SparkSession, path: str, entity: T.StructType, multiline: bool) -> DataFrame:
     raw = (
-        spark.read.schema(page)
+        spark.read.schema(page_schema(entity))
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
-    records = F.coalesce(F.col("results"), F.array(F.struct(*[F.col(f"`{n}`") for n in names])))
-    return raw.select(
-        F.explode(records).alias("r"), CORRUPT, F.col("_metadata.file_path").alias("source_path")
-    ).select("r.*", CORRUPT, "source_path")
+    return page_records(raw, entity)
 
 
 def _read_csv(spark: SparkSession, path: str, entity: T.StructType) -> DataFrame:
@@ -114,8 +131,8 @@ def read_entity(
     """Every file of one entity on one day, whatever of JSON, CSV and Parquet lies there.
 
     The schema is declared, so no data is read to infer it. A folder that is absent or holds no file of a format
-    yields an empty frame of the right shape; any other read error is raised. ``multiline=False`` reads JSON
-    lines, whose files Spark can split.
+    yields an empty frame of the right shape; any other read error is raised. A multi-line JSON file is parsed by one
+    task, so large dumps should come as many pages or, with ``multiline=False``, as JSON lines, which Spark splits.
     """
     path = f"{root.rstrip('/')}/{day}/{entity}"
     readers = {

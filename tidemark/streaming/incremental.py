@@ -5,11 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.reconcile import dedup_latest
 from tidemark.plans import transactions
 from tidemark.schemas import CORRUPT, RAW
+from tidemark.sources.snapshots import page_records, page_schema
 from tidemark.sources.state import StateStore
 
 
@@ -44,26 +44,15 @@ def ledger_entries(df: DataFrame, run: str, path_col: str = "source_path") -> Da
 
 def transaction_pages(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
     """Stream of raw transactions from JSON pages that keep arriving in ``folder``."""
-    entity = RAW["transactions"]
-    page = T.StructType([
-        *entity.fields,
-        T.StructField("results", T.ArrayType(entity)),
-        T.StructField(CORRUPT, T.StringType()),
-    ])
     raw = (
-        spark.readStream.schema(page)
+        spark.readStream.schema(page_schema(RAW["transactions"]))
         .option("multiLine", True)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", max_files)
         .json(folder)
     )
-    bare = F.array(F.struct(*[F.col(f"`{name}`") for name in entity.fieldNames()]))
-    return raw.select(
-        F.explode(F.coalesce("results", bare)).alias("r"),
-        CORRUPT,
-        F.col("_metadata.file_path").alias("source_path"),
-    ).select("r.*", CORRUPT, "source_path")
+    return page_records(raw, RAW["transactions"])
 
 
 def drop_late_repeats(flat: DataFrame, delay: str = "2 days") -> DataFrame:
