@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, packing, quality_rules
+from tidemark.llm import decontaminate, html_text, packing, quality_rules, substring_dedup
 from tidemark.llm.ngram_join import NgramJoin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,17 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents cut into powers of two, each piece a sequence without padding."""
     return packing.pieces(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without sentences of repeated spans."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = substring_dedup.dedup(docs, report=True)
+    return cut.select("doc_id", "text", F.char_length("text").cast("long").alias("n_chars"), "n_words", "n_removed")
+
+
+@query
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))

@@ -54,6 +54,51 @@ def total(rows: DataFrame, size: int) -> np.ndarray:
     parts = max(1, min(size // PIECE, 64))
     summed = rows.select("piece", "at", "counts").repartition(parts, "piece").mapInArrow(_sums, ROWS)
     table = np.zeros(size, np.int64)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():
         add(table[row["piece"] * PIECE:(row["piece"] + 1) * PIECE], row["at"], row["counts"])
     return table
+
+
+#: Bits of a presence map: 8 MB in each task and on the driver, whatever the number of values.
+PRESENT_BITS = 1 << 26
+_PRESENT_PIECE = 1 << 17
+
+
+def _places(values: np.ndarray) -> np.ndarray:
+    spread = values.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(64 - 26)).astype(np.int64)
+
+
+def maybe_present(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """False only for values that were not put into ``bits``."""
+    at = _places(values)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def presence(values: DataFrame) -> np.ndarray:
+    """A map of the bigints in the one column of ``values``, to pass over most others; nulls are left out."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = _places(batch.column(0).drop_null().to_numpy())
+            for piece in np.unique(at >> 20):
+                own = at[at >> 20 == piece] & ((1 << 20) - 1)
+                np.bitwise_or.at(held.setdefault(int(piece), np.zeros(_PRESENT_PIECE, np.uint8)), own >> 3, np.uint8(1) << (own & 7).astype(np.uint8))
+        for piece, bits in held.items():
+            yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "bits": [bits.tobytes()]})
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, bits in zip(batch.column("piece").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                held.setdefault(piece, np.zeros(_PRESENT_PIECE, np.uint8))
+                held[piece] |= np.frombuffer(bits, np.uint8)
+        for piece, bits in held.items():
+            yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "bits": [bits.tobytes()]})
+
+    rows = "piece int, bits binary"
+    out = np.zeros(PRESENT_BITS >> 3, np.uint8)
+    for row in values.mapInArrow(mapped, rows).repartition(64, "piece").mapInArrow(merged, rows).collect():
+        out[row["piece"] * _PRESENT_PIECE:(row["piece"] + 1) * _PRESENT_PIECE] = np.frombuffer(row["bits"], np.uint8)
+    return out
