@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, html_text, packing, quality_rules, substring_dedup
+from tidemark.llm import (
+    chat_format, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
+)
 from tidemark.llm.ngram_join import NgramJoin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +72,36 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every dialogue once for each of its participants."""
+    return chat_format.rotated(table(spark, folder, "conversations")).select(
+        "conv_id", "perspective", "turn", "speaker", "kind", "mask", "rendered"
+    )
+
+
+ORACLES["op5_chat_format"] = r"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+kinds AS (SELECT s.*, w.perspective, CASE WHEN s.speaker = w.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system'
+    ELSE 'user' END AS kind FROM said s JOIN who w ON s.conv_id IS NOT DISTINCT FROM w.conv_id)
+SELECT conv_id, perspective, turn, speaker, kind, speaker = perspective AS mask,
+    '<|' || kind || CASE WHEN kind = 'user' THEN ' name=' || speaker ELSE '' END || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered
+FROM kinds"""
+
+
+@query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in whole documents: base phrases and templates."""
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+@query
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards of equal counts, equal texts together as far as they fit."""
+    placed = sharding.sharded(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
