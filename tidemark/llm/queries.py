@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat_format, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
+    chat_format, context_mixing, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
 )
 from tidemark.llm.ngram_join import NgramJoin
 
@@ -105,3 +105,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op4_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of all documents under a model of four fifths of them."""
+    return context_mixing.scored(table(spark, folder, "documents"))

@@ -51,12 +51,13 @@ def total(rows: DataFrame, size: int) -> np.ndarray:
 
     Tasks' pieces are summed in two steps, so that no task sees all tasks' rows of a piece one by one at once.
     """
-    parts = max(1, min(size // PIECE, 64))
+    whole = -(-size // PIECE)
+    parts = min(whole, 64)
     summed = rows.select("piece", "at", "counts").repartition(parts, "piece").mapInArrow(_sums, ROWS)
-    table = np.zeros(size, np.int64)
+    table = np.zeros(whole * PIECE, np.int64)
     for row in summed.collect():
         add(table[row["piece"] * PIECE:(row["piece"] + 1) * PIECE], row["at"], row["counts"])
-    return table
+    return table[:size]
 
 
 #: Bits of a presence map: 8 MB in each task and on the driver, whatever the number of values.
