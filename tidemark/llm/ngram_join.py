@@ -14,7 +14,8 @@ Two texts link when the Jaccard similarity of their n-gram sets is at least the
    with other leaders follow while they pay; then every remaining pair of different components, whose sizes allow
    a link, is compared. No tile, list or group is cut.
 4. A comparison first bounds the overlap from above: sets that differ in d n-grams have bitmaps that differ in d bits at
-   most. What the bound leaves is decided by intersecting the sorted arrays.
+   most. Rows of a tile carry the bitmap folded to 256 bits, so most pairs end where they meet; then whole bitmaps, wide as
+   the sets are large, are compared. What the bound leaves is decided by intersecting the sorted arrays.
 5. Links become components by star contraction in joins.
 
 Within a component only as many links are looked up as connect it; ``links`` therefore is a connecting set, not all pairs.
@@ -22,7 +23,7 @@ Within a component only as many links are looked up as connect it; ``links`` the
 Nodes are 64-bit fingerprints of sets and n-grams 64-bit hashes; the chance that any two of n differ but collide is
 about n * n / 2**65.
 
-Null and empty texts and texts without words have empty sets and link with nothing. A text with fewer words than the
+Rows need a doc_id; rows without one get no links of their own. Null and empty texts and texts without words have empty sets and link with nothing. A text with fewer words than the
 n-gram length has its whole sequence as its one n-gram. Rows that repeat are members of the same node. Extra columns are
 not touched. Empty tables give empty results.
 """
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import sketch, words as W
 from tidemark.llm.graph import components
-from tidemark.scratch import counted, materialize, measured
+from tidemark.scratch import counted, materialize
 
 WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -51,12 +52,16 @@ COUNTERS = 1 << 20
 SALT_EVERY = 1 << 14
 #: Leader rounds go on while the rest would take more comparisons than this many for each n-gram written down, and
 #: while a round saves at least this share of them. Then the rest is compared outright.
-OUTRIGHT = 4
+OUTRIGHT = 2
 PAYS = 0.2
 
+#: Bits of the short signature that rows of a tile carry: the bitmap folded to so many.
+SIGNATURE = 256
+
 _SETS = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), *sketch.SCHEMA,
 ])
+SIGNS = [f"s{k}" for k in range(SIGNATURE // 64)]
 _POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_())])
 
 
@@ -65,8 +70,8 @@ def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmap(grams: np.ndarray) -> bytes:
-    """Parity bits of hashed n-grams; as many bits as the next power of two above the size, 64 at least."""
-    size = max(64, 1 << max(len(grams) - 1, 0).bit_length())
+    """Parity bits of hashed n-grams; as many bits as the next power of two above the size, 256 at least."""
+    size = max(SIGNATURE, 1 << max(len(grams) - 1, 0).bit_length())
     odd = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -87,6 +92,23 @@ def may_link(n: int, m: int, one: bytes, other: bytes, percent: int = PERCENT) -
     return 100 * overlap >= percent * (n + m - overlap)
 
 
+def _signed_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the short signature, as four bigints."""
+    for batch in batches:
+        folded = [_folded(bits, SIGNATURE // 8) for bits in batch.column("bits").to_pylist()]
+        short = np.array(folded, np.uint8).reshape(-1, SIGNATURE // 8).view(np.int64)
+        for k in range(SIGNATURE // 64):
+            batch = batch.append_column(f"s{k}", pa.array(short[:, k]))
+        yield batch
+
+
+def _bound(n: str, m: str, one: str, other: str, percent: int) -> str:
+    """SQL: false only if sets whose short signatures are in ``one`` and ``other`` can't link."""
+    apart = " + ".join(f"bit_count(s{k}{one} ^ s{k}{other})" for k in range(SIGNATURE // 64))
+    overlap = f"least(({n} + {m} - ({apart})) div 2, {n}, {m})"
+    return f"100 * {overlap} >= {percent} * ({n} + {m} - {overlap})"
+
+
 def _sets_of(width: int):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(COUNTERS, np.int64)
@@ -158,16 +180,19 @@ def _posts_of(width: int, percent: int, levels, total: int):
     return job
 
 
-def _arrays_of(width: int):
+def _arrays_of(width: int, wanted):
+    """Sorted arrays of the texts whose doc_id is in a broadcast presence map, with a few more."""
     schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in W.chunks(batch, "text"):
+            ids = batch.column("doc_id")
+            some = sketch.maybe_present(wanted.value, ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+            for _, texts in W.chunks(batch.filter(pa.array(some)), "text"):
                 values, first = W.sorted_sets(*_shingles(texts, width))
+                runs = [values[first[i]:first[i + 1]].tobytes() for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("node"),
-                    pa.array([values[first[i]:first[i + 1]].tobytes() for i in range(len(texts))], pa.binary()),
+                    pa.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in runs], pa.int64()), pa.array(runs, pa.binary()),
                 ], schema=schema)
 
     return job
@@ -213,8 +238,8 @@ class NgramJoin:
         self._bits = both.filter("node is not null").select("node", "bits", F.col("n_shingles").alias("n"))
         self._counts = sketch.total(both.filter("piece is not null"), COUNTERS)
 
-    def _live(self) -> tuple[DataFrame, int]:
-        """N-grams by which nodes may be linked, of all n-grams that two nodes or more wrote down."""
+    def _met(self) -> DataFrame:
+        """Where nodes meet: of all n-grams written down, those that two nodes or more have in common."""
         levels = np.zeros(COUNTERS, np.uint8)
         some = self._counts > 0
         levels[some] = np.floor(np.log2(self._counts[some])).astype(np.uint8) + 1
@@ -223,88 +248,87 @@ class NgramJoin:
             _posts_of(self.width, self.percent, held, int(self._counts.mean())),
             "gram long, salt int, node long, n long, short boolean",
         )
-        # A salted n-gram is held to be shared; any other has all its rows in one place and shows whether it is.
-        # Rows of a node that several tasks wrote down follow each other, and all but the first go.
-        by = "partition by gram, salt order by node"
-        around = posts.selectExpr(
-            "*", f"lag(node) over ({by}) as before", f"lead(node) over ({by}) as after",
-            "first_value(node) over (partition by gram, salt order by node) as lowest",
-        ).selectExpr("*", "after is not null and after <> node as other_above", "lowest <> node as other_below")
-        kept = around.filter("(before is null or before <> node) and (salt > 0 or other_below or other_above or after = node)")
-        return counted(kept.select("gram", "node", "n", "short"), "live")
+        # An n-gram that two nodes wrote down gives its pair here. One of three or more keeps its members, and each with the
+        # least as a first leader. A salted n-gram is held to be one of those, since its rows are not all in one place.
+        ends = posts.selectExpr(
+            "*", "min(node) over (partition by gram, salt) as low", "max(node) over (partition by gram, salt) as high"
+        ).filter("salt > 0 or low < high")
+        shared = ends.selectExpr("*", "max(node > low and node < high or salt > 0) over (partition by gram, salt) as many")
+        kept = shared.filter("many or node = high").selectExpr(
+            "if(many, gram, null) as gram", "node", "n", "short", "low as leader", "many"
+        )
+        return materialize(kept, "met")
 
     def links(self) -> DataFrame:
         """``a, b``: links between nodes, enough of them to connect what any links connect."""
-        live, known = self._live()
+        met = self._met()
+        self._known = materialize(self._bits.dropDuplicates(["node"]).mapInArrow(
+            _signed_bits, "node long, bits binary, n long, " + ", ".join(f"s{k} long" for k in range(SIGNATURE // 64))
+        ), "bits")
+        pairs = met.filter("node <> leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
+        found = self._verified(pairs)
         band = F.floor(F.log("n") / F.lit(math.log(100 / self.percent))).alias("band")
-        live = live.select("*", band)
-        nodes = live.select("node").distinct()
-        owner = self.members.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        picked = owner.join(nodes, "node", "left_semi")
-        texts = self.docs.join(picked, "doc_id").select("node", "text")
-        arrays = materialize(texts.mapInArrow(_arrays_of(self.width), "node long, grams binary"), "arrays").dropDuplicates(["node"])
-        bits = self._bits.dropDuplicates(["node"])
-        found, labels, before = None, None, math.inf
+        live = met.filter("many").select("gram", "node", "n", "short", band).distinct()
+        live, rows = counted(live.join(self._known.select("node", *SIGNS), "node"), "live")
+        before = math.inf
         for turn in itertools.count():
-            placed = live.select("*", F.col("node").alias("comp"))
-            if labels is not None:
-                placed = live.join(labels, "node", "left").select(live["*"], F.coalesce("root", "node").alias("comp"))
-            lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("leader"), F.col("n").alias("m")))
-            sides = placed.groupBy("gram", "band", "comp").agg(F.count(F.lit(1)).alias("size"), lead.alias("lead"))
-            cost = self._cost(sides)
-            if cost == 0:
+            if not rows:
                 break
-            last = cost <= OUTRIGHT * known or cost > (1 - PAYS) * before
-            pairs = self._outright(placed, sides) if last else self._with_leaders(placed, sides)
-            links = self._verified(pairs, bits, arrays)
-            found = links if found is None else found.unionByName(links)
+            labels = materialize(components(found), "labels")
+            placed = live.join(labels, "node", "left").select(live["*"], F.coalesce("root", "node").alias("comp"))
+            sides = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"))
+            mains = sides.groupBy("gram").agg(
+                F.sum("size").alias("total"), F.count(F.lit(1)).alias("sides"), F.max(F.struct("size", "comp")).alias("main")
+            ).filter("sides > 1").select("gram", "total", F.col("main.size").alias("size"), F.col("main.comp").alias("main_comp"))
+            # N-grams whose members are all connected are done with.
+            placed, rows = counted(placed.join(mains, "gram"), "apart")
+            # Comparisons, if all were done now: members outside a gram's main component, times all the gram's members.
+            cost = placed.filter("comp <> main_comp").agg(F.sum(F.col("total").cast("double")).alias("cost")).first()["cost"] or 0
+            last = cost <= OUTRIGHT * rows or cost > (1 - PAYS) * before
+            more = self._verified(self._outright(placed) if last else self._with_leaders(placed, turn))
+            found = found.unionByName(more)
             if last:
                 break
-            labels, before = materialize(components(found), "labels"), cost
-        return found if found is not None else self.spark.createDataFrame([], "a long, b long")
-
-    def _with_leaders(self, placed: DataFrame, sides: DataFrame) -> DataFrame:
-        """Each member of a tile with a leader of the tile's largest component."""
-        tiles = sides.groupBy("gram", "band").agg(
-            F.count(F.lit(1)).alias("sides"), F.max(F.struct("size", "lead", "comp")).alias("main")
-        ).filter("sides > 1").select("gram", "band", F.col("main.comp").alias("main_comp"), "main.lead.leader", "main.lead.m")
-        return placed.join(tiles, ["gram", "band"]).filter(
-            f"comp <> main_comp and 100 * least(n, m) >= {self.percent} * greatest(n, m)"
+            live, before = placed.select(*live.columns), cost
+        return found
+
+    def _with_leaders(self, placed: DataFrame, turn: int) -> DataFrame:
+        """Each member of a tile outside the gram's main component with a leader of that component in the tile."""
+        lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("leader"), F.col("n").alias("m"), *[F.col(x).alias(f"{x}_2") for x in SIGNS]))
+        leaders = placed.filter("comp = main_comp").groupBy("gram", "band").agg(lead.alias("lead")).select(
+            "gram", "band", "lead.leader", "lead.m", *[f"lead.{x}_2" for x in SIGNS]
+        )
+        return placed.filter("comp <> main_comp").join(leaders, ["gram", "band"]).filter(
+            f"100 * least(n, m) >= {self.percent} * greatest(n, m) and {_bound('n', 'm', '', '_2', self.percent)}"
         ).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
 
-    @staticmethod
-    def _main(sides: DataFrame) -> DataFrame:
-        """Per gram: all its members, and its largest component."""
-        per = sides.groupBy("gram", "comp").agg(F.sum("size").alias("size"))
-        return per.groupBy("gram").agg(
-            F.sum("size").alias("total"), F.count(F.lit(1)).alias("sides"), F.max(F.struct("size", "comp")).alias("main")
-        ).filter("sides > 1").select("gram", "total", F.col("main.size").alias("size"), F.col("main.comp").alias("main_comp"))
-
-    def _cost(self, sides: DataFrame) -> int:
-        """Comparisons, if all were done now: members outside a gram's main component, times all the gram's members."""
-        row = self._main(sides).agg(F.sum(F.expr("(total - size) * cast(total as double)")).alias("cost")).first()
-        return int(row["cost"] or 0)
-
-    def _outright(self, placed: DataFrame, sides: DataFrame) -> DataFrame:
+    def _outright(self, placed: DataFrame) -> DataFrame:
         """All pairs of different components that meet in a gram: one side lies outside the gram's main component."""
-        apart = self._main(sides).select("gram", "main_comp")
-        here = placed.join(apart, "gram")
-        one = here.filter("comp <> main_comp").select("gram", "node", "n", "short", "comp")
-        other = here.select("gram", *[F.col(x).alias(f"{x}_2") for x in ("node", "n", "short", "comp")])
+        one = placed.filter("comp <> main_comp").select("gram", "node", "n", "short", "comp", "band", *SIGNS)
+        other = placed.select("gram", *[F.col(x).alias(f"{x}_2") for x in ("node", "n", "short", "comp", "band", *SIGNS)])
         met = one.join(other, "gram").filter(
-            f"comp <> comp_2 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
+            f"comp <> comp_2 and abs(band - band_2) <= 1 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
             " and case when n < n_2 then short when n > n_2 then short_2 else short or short_2 end"
+            f" and {_bound('n', 'n_2', '', '_2', self.percent)}"
         )
         return met.select(F.greatest("node", "node_2").alias("a"), F.least("node", "node_2").alias("b"))
 
-    def _verified(self, pairs: DataFrame, bits: DataFrame, arrays: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that link: first by the bitmaps' bound, then by the sorted arrays."""
+
         def with_both(df: DataFrame, side: DataFrame, names: list[str], out: list[str]) -> DataFrame:
             for key, mark in (("a", 0), ("b", 1)):
                 df = df.join(side.select(F.col("node").alias(key), *[F.col(x).alias(y[mark]) for x, y in zip(names, out, strict=True)]), key)
             return df
 
-        tested = with_both(pairs.distinct(), bits, ["n", "bits"], [("n", "m"), ("bits_a", "bits_b")])
-        may = materialize(tested.mapInArrow(_bounded(self.percent), "a long, b long"), "may")
+        tested = with_both(pairs.distinct(), self._known, ["n", "bits"], [("n", "m"), ("bits_a", "bits_b")])
+        may, some = counted(tested.mapInArrow(_bounded(self.percent), "a long, b long"), "may")
+        if not some:
+            return may
+        nodes = may.select(F.col("a").alias("node")).unionByName(may.select(F.col("b").alias("node"))).distinct()
+        owners = self.members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        wanted = self.spark.sparkContext.broadcast(sketch.presence(owners))
+        arrays = materialize(self.docs.mapInArrow(_arrays_of(self.width, wanted), "node long, grams binary"), "arrays")
         sure = with_both(may, arrays, ["grams"], [("grams_a", "grams_b")])
         return materialize(sure.mapInArrow(_exact(self.percent), "a long, b long"), "links")
 
