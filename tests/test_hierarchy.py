@@ -67,7 +67,7 @@ def test_a_self_loop_is_no_edge_and_reported_as_cycle_when_kept(spark, rows):
 
 def test_activity_reaches_every_ancestor(spark, rows):
     groups = rows("group_id bigint, parent_group_id bigint", (1, None), (2, 1), (3, 2), (4, 1))
-    direct = rows("group_id bigint, is_active_direct int", (3, 1), (4, 0))
+    direct = rows("group_id bigint, has_active_member boolean", (3, True), (4, False))
     status = {r.group_id: r.status for r in H.group_activity(groups, direct).collect()}
     assert status == {1: "active", 2: "active", 3: "active", 4: "inactive"}
 

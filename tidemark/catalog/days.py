@@ -263,7 +263,7 @@ SELECT coalesce(f.id, o.id) AS transaction_id,
        CASE WHEN o.id IS NOT NULL THEN 'STORED' ELSE 'AUTHORIZATION' END AS transaction_type,
        CASE WHEN f.id IS NOT NULL THEN f.day ELSE DATE '2020-01-01' END AS transaction_date,
        CASE WHEN f.id IS NOT NULL THEN f.amount ELSE o.amount END AS original_amount,
-       CASE WHEN o.id IS NOT NULL THEN 'USD' ELSE f.code END AS currency_code,
+       CASE WHEN f.id IS NOT NULL THEN f.code ELSE 'USD' END AS currency_code,
        CASE WHEN f.id IS NOT NULL THEN f.rate ELSE 1 END AS exchange_rate,
        CASE WHEN f.id IS NOT NULL THEN f.usd ELSE CAST(0 AS DECIMAL(18,2)) END AS amount_usd,
        CASE WHEN f.id IS NOT NULL THEN f.merchant ELSE 'stored' END AS merchant_name,

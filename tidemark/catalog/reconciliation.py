@@ -235,14 +235,14 @@ def part_users(t: Tables) -> DataFrame:
     )
 
 
-@query("""SELECT o_orderkey AS group_id, coalesce(max(CASE WHEN p_size = 50 THEN 1 ELSE 0 END), 0) AS is_active_direct
+@query("""SELECT o_orderkey AS group_id, coalesce(bool_or(p_size = 50), false) AS has_active_member
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey
 GROUP BY o_orderkey""")
 def direct_activity(t: Tables) -> DataFrame:
     members = t.lineitem.select(F.col("l_orderkey").alias("group_id"), F.col("l_partkey").alias("user_id"))
     direct = L.direct_activity(L.member_status(members, part_users(t)))
     groups = t.orders.select(F.col("o_orderkey").alias("group_id"))
-    return groups.join(direct, "group_id", "left").na.fill(0, ["is_active_direct"])
+    return groups.join(direct, "group_id", "left").na.fill(False, ["has_active_member"])
 
 
 @query("""SELECT c_custkey AS user_id, c_name AS user_name, CAST(NULL AS VARCHAR) AS user_email, 'active' AS status,

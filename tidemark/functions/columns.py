@@ -99,12 +99,41 @@ def member_ids(df: DataFrame, sources: tuple[str, ...] = ("agent_ids", "users.id
     return F.array().cast(ID_ARRAY)
 
 
+def listed_ids(text: Column) -> Column:
+    """Ids in a JSON text: a list of objects with an id, an object with a list of ids, or an object with one id."""
+    objects = F.from_json(text, "array<struct<id: string>>")
+    many = F.from_json(text, "struct<id: array<string>>").getField("id")
+    one = safe_id(F.from_json(text, "struct<id: string>").getField("id"))
+    # An object read as a list would give a list of it, so the shape of the text decides.
+    return F.when(F.ltrim(text).startswith("["), id_array(objects.getField("id"))).otherwise(
+        F.coalesce(id_array(many), F.when(one.isNotNull(), F.array(one)))
+    )
+
+
+def member_ids_by_row(df: DataFrame) -> tuple[Column, Column]:
+    """Member ids of each record from the first source that it has, and whether that source can't be read."""
+    found, broken = F.lit(None).cast(ID_ARRAY), F.lit(False)
+    for source in ("members", "users"):
+        kind = field_type(df.schema, source)
+        if isinstance(kind, T.StringType):
+            own = listed_ids(F.col(source))
+            broken = F.when(F.col(source).isNotNull(), own.isNull()).otherwise(broken)
+            found = F.when(F.col(source).isNotNull(), own).otherwise(found)
+        elif has_field(df, f"{source}.id"):
+            found = F.coalesce(array_field_ids(df, f"{source}.id"), found)
+    if has_field(df, "agent_ids"):
+        own = array_field_ids(df, "agent_ids")
+        found, broken = F.coalesce(own, found), own.isNull() & broken
+    return empty_if_null(found), broken
+
+
 def minor_units(amount: Column, exponent: Column) -> Column:
-    """Money from minor units: ``12559`` with exponent 2 is 125.59; no number or too large gives null.
+    """Money from minor units: ``12559`` with exponent 2 is 125.59; no number, too large or an
+    exponent that is there but can't be read gives null.
 
     Decimal arithmetic throughout: the power of ten is turned into an exact decimal before it is applied.
     """
-    digits = F.coalesce(safe_id(exponent).try_cast("int"), F.lit(0))
+    digits = F.when(exponent.isNotNull(), safe_id(exponent).try_cast("int")).otherwise(0)
     factor = F.pow(F.lit(10.0), -digits).try_cast(T.DecimalType(18, 12))
     return F.try_multiply(safe_decimal(amount, T.DecimalType(24, 6)), factor).try_cast(MONEY)
 

@@ -74,12 +74,12 @@ def _spread(edges: DataFrame, reached: DataFrame) -> DataFrame:
     raise NoConvergence("activity did not settle")
 
 
-def propagate_up(edges: DataFrame, seeds: DataFrame, method: str = "auto") -> DataFrame:
+def propagate_up(edges: DataFrame, seeds: DataFrame, method: str = "doubling") -> DataFrame:
     """Seeds and all their ancestors as column ``node``; cycles are harmless, the set only grows.
 
     ``frontier`` takes one round per level and touches only new nodes; ``doubling`` takes about log2(depth)
-    rounds over the jump table; ``auto`` climbs a few levels first, which settles an ordinary forest, and doubles
-    from there when the forest turns out to be deep.
+    rounds over the jump table, whatever the forest's shape; ``auto`` climbs a few levels first and doubles from there
+    when the forest turns out to be deep.
     """
     if method not in ("auto", "frontier", "doubling"):
         raise ValueError(f"unknown method {method!r}")
@@ -92,9 +92,9 @@ def propagate_up(edges: DataFrame, seeds: DataFrame, method: str = "auto") -> Da
     return _spread(edges, materialize(reached, "reached"))
 
 
-def group_activity(groups: DataFrame, direct: DataFrame, method: str = "auto") -> DataFrame:
+def group_activity(groups: DataFrame, direct: DataFrame, method: str = "doubling") -> DataFrame:
     """(group_id, status): active when the group or any group below it has an active direct member."""
-    seeds = direct.filter(F.col("is_active_direct") == 1).select("group_id")
+    seeds = direct.filter("has_active_member").select("group_id")
     live = propagate_up(forest_edges(groups, "group_id", "parent_group_id"), seeds, method)
     mark = live.select(F.col("node").alias("group_id"), F.lit(True).alias("_live"))
     status = F.when(F.col("_live"), F.lit("active")).otherwise(F.lit("inactive"))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.columns import member_ids, optional_col, safe_id, safe_timestamp
+from tidemark.functions.columns import member_ids_by_row, optional_col, safe_id, safe_timestamp
 from tidemark.operators import links as L
 from tidemark.operators import quality as Q
 from tidemark.operators.hierarchy import group_activity
@@ -27,6 +27,7 @@ class GroupSync:
 
 def clean_groups(raw: DataFrame) -> DataFrame:
     """Typed groups with their member ids, tagged with their faults."""
+    found, broken = member_ids_by_row(raw)
     typed = raw.select(
         optional_col(raw, "id").alias("raw_id"),
         safe_id(F.col("id").cast("string")).alias("group_id"),
@@ -35,7 +36,8 @@ def clean_groups(raw: DataFrame) -> DataFrame:
         safe_id(optional_col(raw, "parent_group_id")).alias("parent_group_id"),
         safe_timestamp(optional_col(raw, "created_at")).alias("created_at"),
         safe_timestamp(optional_col(raw, "updated_at")).alias("updated_at"),
-        member_ids(raw).alias("user_ids"),
+        found.alias("user_ids"),
+        broken.alias("_broken"),
         optional_col(raw, CORRUPT).alias(CORRUPT),
         optional_col(raw, "source_path").alias("source_path"),
     )
@@ -46,8 +48,10 @@ def clean_groups(raw: DataFrame) -> DataFrame:
             Q.Rule("bad_key", F.col("group_id").isNull()),
             Q.missing("group_name"),
             Q.self_loop("group_id", "parent_group_id"),
+            # A record whose members can't be read would clear the stored ones; it waits in quarantine instead.
+            Q.Rule("bad_members", F.col("_broken")),
         ],
-    )
+    ).drop("_broken")
 
 
 def build_groups(

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.columns import day_of, minor_units, optional_col
+from tidemark.functions.columns import day_of, minor_units, optional_col, safe_timestamp
 from tidemark.functions.currencies import CURRENCY_CODES
 from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
@@ -81,7 +81,9 @@ def survivors(flat: DataFrame) -> DataFrame:
     """
     known = flat.filter(F.col("transaction_id").isNotNull())
     unknown = flat.filter(F.col("transaction_id").isNull())
-    return dedup_latest(known, ["transaction_id"], ["updated_time"]).unionByName(unknown)
+    # By the moment, not by the text: offsets differ. The text only settles what is no time or the same time.
+    known = known.withColumn("_moment", safe_timestamp(F.col("updated_time")))
+    return dedup_latest(known, ["transaction_id"], ["_moment", "updated_time"]).drop("_moment").unionByName(unknown)
 
 
 def convert(delta: DataFrame, rates: DataFrame, on_missing: str = "null") -> DataFrame:

@@ -25,7 +25,7 @@ from tidemark.operators.reconcile import (
 )
 from tidemark.plans.inputs import load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, conform, unreadable
-from tidemark.scratch import materialize
+from tidemark.scratch import materialize, measured
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
 
@@ -41,6 +41,19 @@ class UserSync:
     user_roles: DataFrame
 
 
+OPTIONAL_FIELDS = ("name", "email", "first_name", "last_name")
+
+
+def known_fields(index: DataFrame) -> DataFrame:
+    """The index, written once, without the optional fields that no record of it has.
+
+    Which field stands in for a name depends on what the index has as a whole: where names exist, a record without
+    one is a fault, and where none exist, a placeholder is put.
+    """
+    written, seen = measured(index, "agents", **{f"has_{c}": F.bool_or(F.col(c).isNotNull()) for c in OPTIONAL_FIELDS})
+    return written.drop(*[c for c in OPTIONAL_FIELDS if not seen[f"has_{c}"]])
+
+
 def resolve_users(index: DataFrame, details: DataFrame) -> DataFrame:
     """One row per index record; each value from the details record first, then from the index.
 
@@ -48,7 +61,10 @@ def resolve_users(index: DataFrame, details: DataFrame) -> DataFrame:
     else the contact's name.
     """
     det = conform(details, RAW["agent_details"]).filter(F.col("id").isNotNull())
-    joined = left_enrich(index.withColumn("id", F.col("id").cast("string")), det, "id", ["updated_at"])
+    joined = left_enrich(
+        index.withColumn("id", F.col("id").cast("string")),
+        det.withColumn("moment", safe_timestamp(F.col("updated_at"))), "id", ["moment", "updated_at"],
+    )
     if has_field(index, "name"):
         name = first_non_null(F.col("det.contact.name"), F.col("name"))
     elif has_field(index, "first_name") and has_field(index, "last_name"):
@@ -132,7 +148,7 @@ def build_users(
 
 def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     """Sync one day's users into the store; returns the version that holds them."""
-    index = read_entity(spark, root, day, "agents", RAW["agents"])
+    index = known_fields(read_entity(spark, root, day, "agents", RAW["agents"]))
     details, roles = load(spark, root, day, "agent_details"), load(spark, root, day, "roles")
     # Written once: one join and one parse serve users, links, quarantine and metrics.
     checked = stage(clean_users(resolve_users(index, details)), "users")

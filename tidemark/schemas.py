@@ -33,7 +33,9 @@ CONTACT = _struct(name=TEXT, email=TEXT)
 CURRENCY_DATA = _struct(originalCurrencyAmount=TEXT, exponent=TEXT, originalCurrencyCode=TEXT)
 
 RAW = {
-    "agents": _struct(id=TEXT, contact=CONTACT, created_at=TEXT, updated_at=TEXT),
+    "agents": _struct(
+        id=TEXT, contact=CONTACT, name=TEXT, email=TEXT, first_name=TEXT, last_name=TEXT, created_at=TEXT, updated_at=TEXT,
+    ),
     "agent_details": _struct(
         id=TEXT, contact=CONTACT, created_at=TEXT, updated_at=TEXT,
         group_ids=T.ArrayType(TEXT), role_ids=T.ArrayType(TEXT),
@@ -41,7 +43,8 @@ RAW = {
     "roles": _struct(id=TEXT, name=TEXT, description=TEXT),
     "admin_groups": _struct(
         id=TEXT, name=TEXT, description=TEXT, parent_group_id=TEXT, agent_ids=T.ArrayType(TEXT),
-        created_at=TEXT, updated_at=TEXT,
+        # Objects or lists of objects with an id, kept as JSON text: a dump may have either.
+        users=TEXT, members=TEXT, created_at=TEXT, updated_at=TEXT,
     ),
     "cards": _struct(id=TEXT, name=TEXT, lastFour=TEXT, type=TEXT, status=TEXT),
     "budgets": _struct(id=TEXT, name=TEXT, description=TEXT),
@@ -109,7 +112,7 @@ TABLES = {
             budget_id=TEXT, created_at=LOCAL_MOMENT,
         ),
         ("transaction_id",),
-        ("amount_usd", "original_amount", "exchange_rate", "merchant_name", "card_id", "budget_id",
+        ("amount_usd", "original_amount", "currency_code", "exchange_rate", "merchant_name", "card_id", "budget_id",
          "transaction_date"),
     ),
     "transaction_cards": TableSpec(
