@@ -52,8 +52,8 @@ COUNTERS = 1 << 20
 SALT_EVERY = 1 << 14
 #: Leader rounds go on while the rest would take more comparisons than this many for each n-gram written down, and
 #: while a round saves at least this share of them. Then the rest is compared outright.
-OUTRIGHT = 2
-PAYS = 0.2
+OUTRIGHT = 8
+PAYS = 0.5
 
 #: Bits of the short signature that rows of a tile carry: the bitmap folded to so many.
 SIGNATURE = 256
