@@ -12,7 +12,9 @@ Two texts link when the Jaccard similarity of their n-gram sets is at least the
    Within a tile every member is compared with one leader first. Members that are then connected need no
    further comparison among themselves, so a group of n near copies costs about n comparisons, not n squared. Rounds
    with other leaders follow while they pay; then every remaining pair of different components, whose sizes allow
-   a link, is compared. No tile, list or group is cut.
+   a link, is compared. A pair that meets in several n-grams is compared where it meets first: rows carry the few tile
+   n-grams before theirs in the node's order, and a meeting is passed over when those of both sides have one in common.
+   No tile, list or group is cut.
 4. A comparison first bounds the overlap from above: sets that differ in d n-grams have bitmaps that differ in d bits at
    most. Rows of a tile carry the bitmap folded to 256 bits, so most pairs end where they meet; then whole bitmaps, wide as
    the sets are large, are compared. What the bound leaves is decided by intersecting the sorted arrays.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm import sketch, words as W
 from tidemark.llm.graph import components
@@ -55,6 +57,9 @@ SALT_EVERY = 1 << 14
 OUTRIGHT = 8
 PAYS = 0.5
 
+#: So many n-grams before its own does a row of a tile carry, to pass over pairs that have met there already.
+EARLIER = 4
+
 #: Bits of the short signature that rows of a tile carry: the bitmap folded to so many.
 SIGNATURE = 256
 
@@ -62,7 +67,7 @@ _SETS = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), *sketch.SCHEMA,
 ])
 SIGNS = [f"s{k}" for k in range(SIGNATURE // 64)]
-_POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_())])
+_POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_()), ("pos", pa.int32())])
 
 
 def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,6 +180,7 @@ def _posts_of(width: int, percent: int, levels, total: int):
                         pa.array(np.repeat(np.array([x[2] for x in out], np.int64), sizes)),
                         pa.array(np.repeat(np.array([x[3] for x in out], np.int64), sizes)),
                         pa.array(np.concatenate([x[4] for x in out])),
+                        pa.array(np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])),
                     ], schema=_POSTS)
 
     return job
@@ -246,7 +252,7 @@ class NgramJoin:
         held = self.spark.sparkContext.broadcast(levels)
         posts = self.docs.select("text").mapInArrow(
             _posts_of(self.width, self.percent, held, int(self._counts.mean())),
-            "gram long, salt int, node long, n long, short boolean",
+            "gram long, salt int, node long, n long, short boolean, pos int",
         )
         # An n-gram that two nodes wrote down gives its pair here. One of three or more keeps its members, and each with the
         # least as a first leader. A salted n-gram is held to be one of those, since its rows are not all in one place.
@@ -255,7 +261,7 @@ class NgramJoin:
         ).filter("salt > 0 or low < high")
         shared = ends.selectExpr("*", "max(node > low and node < high or salt > 0) over (partition by gram, salt) as many")
         kept = shared.filter("many or node = high").selectExpr(
-            "if(many, gram, null) as gram", "node", "n", "short", "low as leader", "many"
+            "if(many, gram, null) as gram", "node", "n", "short", "pos", "low as leader", "many"
         )
         return materialize(kept, "met")
 
@@ -268,8 +274,11 @@ class NgramJoin:
         pairs = met.filter("node <> leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         found = self._verified(pairs)
         band = F.floor(F.log("n") / F.lit(math.log(100 / self.percent))).alias("band")
-        live = met.filter("many").select("gram", "node", "n", "short", band).distinct()
-        live, rows = counted(live.join(self._known.select("node", *SIGNS), "node"), "live")
+        live = met.filter("many").select("gram", "node", "n", "short", "pos", band).distinct()
+        live = live.join(self._known.select("node", *SIGNS), "node")
+        # A node has no more rows than its text has n-grams.
+        ahead = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
+        live, rows = counted(live.withColumn("earlier", F.collect_list("gram").over(ahead)).drop("pos"), "live")
         before = math.inf
         for turn in itertools.count():
             if not rows:
@@ -303,13 +312,18 @@ class NgramJoin:
         ).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
 
     def _outright(self, placed: DataFrame) -> DataFrame:
-        """All pairs of different components that meet in a gram: one side lies outside the gram's main component."""
-        one = placed.filter("comp <> main_comp").select("gram", "node", "n", "short", "comp", "band", *SIGNS)
-        other = placed.select("gram", *[F.col(x).alias(f"{x}_2") for x in ("node", "n", "short", "comp", "band", *SIGNS)])
+        """All pairs of different components that meet in a gram: one side lies outside the gram's main component.
+
+        The first n-gram that both wrote down always gives the pair: nothing before it is common, and a node's short
+        prefix is the beginning of its long one. Of two sides outside the main component the lesser node comes first.
+        """
+        sides = ["node", "n", "short", "comp", "band", "earlier", *SIGNS]
+        one = placed.filter("comp <> main_comp").select("gram", *sides)
+        other = placed.select("gram", F.expr("comp = main_comp").alias("inner_2"), *[F.col(x).alias(f"{x}_2") for x in sides])
         met = one.join(other, "gram").filter(
-            f"comp <> comp_2 and abs(band - band_2) <= 1 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
+            f"comp <> comp_2 and (inner_2 or node < node_2) and abs(band - band_2) <= 1 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
             " and case when n < n_2 then short when n > n_2 then short_2 else short or short_2 end"
-            f" and {_bound('n', 'n_2', '', '_2', self.percent)}"
+            f" and {_bound('n', 'n_2', '', '_2', self.percent)} and not arrays_overlap(earlier, earlier_2)"
         )
         return met.select(F.greatest("node", "node_2").alias("a"), F.least("node", "node_2").alias("b"))
 
