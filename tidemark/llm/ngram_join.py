@@ -70,7 +70,7 @@ _SETS = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), *sketch.SCHEMA,
 ])
 SIGNS = [f"s{k}" for k in range(SIGNATURE // 64)]
-_POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_()), ("pos", pa.int32())])
+_POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int32())])
 
 
 def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,21 +168,19 @@ def _posts_of(width: int, percent: int, levels, total: int):
                         continue
                     seen.add(node)
                     long = n - -(-percent * n // 100) + 1
-                    short = n - -(-2 * percent * n // (100 + percent)) + 1
                     rank = ranks[first[i]:first[i + 1]]
                     chosen = np.argpartition(rank, long - 1)[:long] if long < n else np.arange(n)
                     chosen = chosen[np.argsort(rank[chosen])]
                     grams = own[chosen]
                     est = 1 << np.maximum(level[(grams >> np.uint64(44)).astype(np.int64)].astype(np.int64) - 1, 0)
                     salts = np.where(est > total + SALT_EVERY, 1 + node % (1 + np.maximum(est - total, 0) // SALT_EVERY), 0)
-                    out.append((W.signed(grams), salts.astype(np.int32), node, n, np.arange(len(grams)) < short))
+                    out.append((W.signed(grams), salts.astype(np.int32), node, n))
                 if out:
                     sizes = np.array([len(x[0]) for x in out])
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out])),
                         pa.array(np.repeat(np.array([x[2] for x in out], np.int64), sizes)),
                         pa.array(np.repeat(np.array([x[3] for x in out], np.int64), sizes)),
-                        pa.array(np.concatenate([x[4] for x in out])),
                         pa.array(np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])),
                     ], schema=_POSTS)
 
@@ -255,7 +253,7 @@ class NgramJoin:
         held = self.spark.sparkContext.broadcast(levels)
         posts = self.docs.select("text").mapInArrow(
             _posts_of(self.width, self.percent, held, int(self._counts.mean())),
-            "gram long, salt int, node long, n long, short boolean, pos int",
+            "gram long, salt int, node long, n long, pos int",
         )
         # An n-gram that two nodes wrote down gives its pair here. One of three or more keeps its members, and each with the
         # least as a first leader. A salted n-gram is held to be one of those, since its rows are not all in one place.
@@ -264,7 +262,7 @@ class NgramJoin:
         ).filter("salt > 0 or low < high")
         shared = ends.selectExpr("*", "max(node > low and node < high or salt > 0) over (partition by gram, salt) as many")
         kept = shared.filter("many or node = high").selectExpr(
-            "if(many, gram, null) as gram", "node", "n", "short", "pos", "low as leader", "many"
+            "if(many, gram, null) as gram", "node", "n", "pos", "low as leader", "many"
         )
         return materialize(kept, "met")
 
@@ -277,11 +275,7 @@ class NgramJoin:
         pairs = met.filter("node <> leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         found = self._verified(pairs)
         band = F.floor(F.log("n") / F.lit(math.log(100 / self.percent))).alias("band")
-        live = met.filter("many").select("gram", "node", "n", "short", "pos", band).distinct()
-        live = live.join(self._known.select("node", *SIGNS), "node")
-        # A node has no more rows than its text has n-grams.
-        ahead = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
-        live, rows = counted(live.withColumn("earlier", F.collect_list("gram").over(ahead)).drop("pos"), "live")
+        live, rows = counted(met.filter("many").select("gram", "node", "n", "pos", band).distinct(), "live")
         before = math.inf
         for turn in itertools.count():
             if not rows:
@@ -297,7 +291,9 @@ class NgramJoin:
             # Comparisons, if all were done now: members outside a gram's main component, times all the gram's members.
             cost = placed.filter("comp <> main_comp").agg(F.sum(F.col("total").cast("double")).alias("cost")).first()["cost"] or 0
             last = cost <= OUTRIGHT * rows or cost > (1 - PAYS) * before
-            more = self._verified(self._outright(placed) if last else self._with_leaders(placed, turn))
+            # Only now do rows carry signatures: those that went through the joins above stay narrow.
+            signed = placed.join(self._known.select("node", *SIGNS), "node")
+            more = self._verified(self._outright(signed) if last else self._with_leaders(signed, turn))
             found = found.unionByName(more)
             if last:
                 break
@@ -320,7 +316,13 @@ class NgramJoin:
         The first n-gram that both wrote down always gives the pair: nothing before it is common, and a node's short
         prefix is the beginning of its long one. Of two sides outside the main component the lesser node comes first.
         """
+        # A node has no more rows than its text has n-grams.
+        ahead = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
+        short = F.expr(f"pos <= n - (2 * {self.percent} * n + 99 + {self.percent}) div (100 + {self.percent})").alias("short")
         sides = ["node", "n", "short", "comp", "band", "earlier", *SIGNS]
+        placed = materialize(
+            placed.select("*", short, F.collect_list("gram").over(ahead).alias("earlier")).select("gram", "main_comp", *sides), "signed"
+        )
         one = placed.filter("comp <> main_comp").select("gram", *sides)
         other = placed.select("gram", F.expr("comp = main_comp").alias("inner_2"), *[F.col(x).alias(f"{x}_2") for x in sides])
         met = one.join(other, "gram").filter(
