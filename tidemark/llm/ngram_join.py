@@ -245,6 +245,10 @@ class NgramJoin:
         self._bits = both.filter("node is not null").select("node", "bits", F.col("n_shingles").alias("n"))
         self._counts = sketch.total(both.filter("piece is not null"), COUNTERS)
 
+    def _needed(self, n: str, m: str) -> str:
+        """SQL: n-grams that sets of sizes ``n`` and ``m`` must share to link."""
+        return f"(({self.percent} * ({n} + {m}) + 99 + {self.percent}) div (100 + {self.percent}))"
+
     def _met(self) -> DataFrame:
         """Where nodes meet: of all n-grams written down, those that two nodes or more have in common."""
         levels = np.zeros(COUNTERS, np.uint8)
@@ -257,8 +261,13 @@ class NgramJoin:
         )
         # An n-gram that two nodes wrote down gives its pair here. One of three or more keeps its members, and each with the
         # least as a first leader. A salted n-gram is held to be one of those, since its rows are not all in one place.
-        ends = posts.selectExpr(
-            "*", "min(node) over (partition by gram, salt) as low", "max(node) over (partition by gram, salt) as high"
+        # Only nodes that could link with the next smaller or, from within their short prefix, the next larger one count.
+        sized = posts.selectExpr(
+            "*", "lag(n) over (partition by gram, salt order by n) as below", "lead(n) over (partition by gram, salt order by n) as above"
+        ).filter(f"salt > 0 or 100 * below >= {self.percent} * n or pos <= n - {self._needed('n', 'n')} and 100 * n >= {self.percent} * above")
+        ends = sized.selectExpr(
+            "gram", "salt", "node", "n", "pos",
+            "min(node) over (partition by gram, salt) as low", "max(node) over (partition by gram, salt) as high",
         ).filter("salt > 0 or low < high")
         shared = ends.selectExpr("*", "max(node > low and node < high or salt > 0) over (partition by gram, salt) as many")
         kept = shared.filter("many or node = high").selectExpr(
@@ -313,21 +322,20 @@ class NgramJoin:
     def _outright(self, placed: DataFrame) -> DataFrame:
         """All pairs of different components that meet in a gram: one side lies outside the gram's main component.
 
-        The first n-gram that both wrote down always gives the pair: nothing before it is common, and a node's short
-        prefix is the beginning of its long one. Of two sides outside the main component the lesser node comes first.
+        The first n-gram that both wrote down always gives the pair: nothing before it is common, so what either has from
+        there on must hold the needed overlap. Of two sides outside the main component the lesser node comes first.
         """
         # A node has no more rows than its text has n-grams.
         ahead = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
-        short = F.expr(f"pos <= n - (2 * {self.percent} * n + 99 + {self.percent}) div (100 + {self.percent})").alias("short")
-        sides = ["node", "n", "short", "comp", "band", "earlier", *SIGNS]
+        sides = ["node", "n", "pos", "comp", "band", "earlier", *SIGNS]
         placed = materialize(
-            placed.select("*", short, F.collect_list("gram").over(ahead).alias("earlier")).select("gram", "main_comp", *sides), "signed"
+            placed.select("*", F.collect_list("gram").over(ahead).alias("earlier")).select("gram", "main_comp", *sides), "signed"
         )
         one = placed.filter("comp <> main_comp").select("gram", *sides)
         other = placed.select("gram", F.expr("comp = main_comp").alias("inner_2"), *[F.col(x).alias(f"{x}_2") for x in sides])
         met = one.join(other, "gram").filter(
             f"comp <> comp_2 and (inner_2 or node < node_2) and abs(band - band_2) <= 1 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
-            " and case when n < n_2 then short when n > n_2 then short_2 else short or short_2 end"
+            f" and least(n - pos, n_2 - pos_2) >= {self._needed('n', 'n_2')}"
             f" and {_bound('n', 'n_2', '', '_2', self.percent)} and not arrays_overlap(earlier, earlier_2)"
         )
         return met.select(F.greatest("node", "node_2").alias("a"), F.least("node", "node_2").alias("b"))
