@@ -177,3 +177,21 @@ def test_sharding(rows):
     pairs = sharding.cut(sharding.sharded(docs)).first()
     assert pairs["cut"] <= 0.2 * pairs["pairs"]
     assert sharding.sharded(empty(docs)).count() == 0
+
+
+def test_substring_dedup_keeps_rows_of_one_id_apart(rows):
+    said = "One two three. Four five six. Seven eight nine ten."
+    clean = "Red green blue. White black grey. Pink brown gold silver."
+    long = f"Many more sentences here. Some that nobody else has. And so on it goes. {said} The end."
+    docs = rows(
+        "doc_id long, text string, row int", (1, said, 0), (2, clean, 1), (2, long, 2), (2, "", 3), (2, "Short.", 4),
+        (None, f"Zero. {said} End of it.", 5), (None, f"Null. {said} Other end.", 6), (7, clean, 7), (7, clean, 8), (None, "", 9),
+    )
+    got = {r.row: r.text for r in substring_dedup.dedup(docs).collect()}
+    # No id comes first, then by id; of rows without id and equal places, one keeps the passage.
+    assert sorted([said in got[5], said in got[6]]) == [False, True]
+    assert {got[5].replace(f"{said} ", ""), got[6].replace(f"{said} ", "")} == {"Zero. End of it.", "Null. Other end."}
+    assert got[0] == "" and got[1] == clean and said not in got[2] and got[2].startswith("Many more sentences here.")
+    assert (got[3], got[4], got[7], got[8], got[9]) == ("", "Short.", "", "", "")
+    twice = rows("doc_id long, text string", (1, said), (1, said), (None, clean), (None, clean), (None, clean))
+    assert sorted(r.text for r in substring_dedup.dedup(twice).collect()) == sorted([said, "", clean, "", ""])

@@ -10,9 +10,10 @@ Spans are hashed to 64 bits; counts and first places are combined before the shu
 texts share is one row for each task. A second pass writes down only spans that a presence map of fixed size does not rule
 out, and those are joined with the repeated spans exactly.
 
-Null and empty texts have no sentences and stay as they are; a text may become empty and stays as a row. Rows that
-repeat a doc_id count as one document: the same place in each is the first. Extra columns are kept. Empty tables give empty
-results.
+Null and empty texts have no sentences and stay as they are; a text may become empty and stays as a row. Rows that repeat a
+doc_id, or have none, with different texts are different documents: places belong to a doc_id and a hash of the text, no
+doc_id comes before all others, and of one doc_id the lesser hash comes first. Of rows that repeat doc_id and text one is the
+document, and the others are later copies of it. Extra columns are kept. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import sketch, words as W
-from tidemark.scratch import materialize
+from tidemark.scratch import counted, materialize
 
 RUN = 3
 LEAST = 8
@@ -79,24 +80,43 @@ def _spans_of(run: int, least: int, wanted=None):
                 if wanted is not None:
                     some = sketch.maybe_present(wanted.value, value)
                     value, doc, place = value[some], doc[some], place[some]
+                doc = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value), part.column("doc_id").take(pa.array(doc)), pa.array(place)], names=["span", "doc_id", "place"]
+                    [pa.array(value), part.column("doc_id").take(doc), part.column("same").take(doc), pa.array(place)],
+                    names=["span", "doc_id", "same", "place"],
                 )
 
     return job
 
 
 def repeated(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
-    """``doc_id, places``: where spans begin that have an earlier place."""
-    fields, texts = "span long, doc_id long, place long", docs.select("doc_id", "text")
+    """``doc_id, same, places``: where spans begin that have an earlier place; ``same`` is the text's hash."""
+    fields, texts = "span long, doc_id long, same long, place long", docs.select("doc_id", F.xxhash64("text").alias("same"), "text")
     first = texts.mapInArrow(_spans_of(run, least), fields).groupBy("span").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "place")).alias("first")
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "same", "place")).alias("first")
     ).filter("times > 1").select("span", "first")
     first = materialize(first, "repeated")
     wanted = docs.sparkSession.sparkContext.broadcast(sketch.presence(first.select("span")))
     found = texts.mapInArrow(_spans_of(run, least, wanted), fields).join(first, "span")
-    later = found.filter(~F.struct("doc_id", "place").eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    later = found.filter(~F.struct("doc_id", "same", "place").eqNullSafe(F.col("first")))
+    return later.groupBy("doc_id", "same").agg(F.collect_set("place").alias("places"))
+
+
+def _with_copies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``_same``, the text's hash, and ``_copy``: whether another row with this doc_id and text is the document."""
+    hashed = docs.withColumn("_same", F.xxhash64(text))
+    often, some = counted(
+        hashed.filter(F.octet_length(text) > 0).groupBy(F.col(doc_id).alias("_of"), F.col("_same").alias("_text")).count()
+        .filter("count > 1").select("_of", "_text"), "often"
+    )
+    if not some:
+        return hashed.withColumn("_copy", F.lit(False))
+    met = F.col(doc_id).eqNullSafe(F.col("_of")) & (F.col("_same") == F.col("_text"))
+    # Only rows that repeat are written, and so get numbers that stay.
+    rows = materialize(hashed.join(often, met, "left_semi").withColumn("_row", F.monotonically_increasing_id()), "copies")
+    least = rows.groupBy(doc_id, "_same").agg(F.min("_row").alias("_row")).select("_row", F.lit(False).alias("_copy"))
+    copies = rows.join(least, "_row", "left").withColumn("_copy", F.coalesce("_copy", F.lit(True))).drop("_row")
+    return hashed.join(often, met, "left_anti").withColumn("_copy", F.lit(False)).unionByName(copies)
 
 
 def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = False) -> DataFrame:
@@ -104,12 +124,13 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = Fa
 
     ``report`` adds ``n_words`` of the text before and ``n_removed`` of them.
     """
-    cut = materialize(repeated(docs, run, least), "cuts").withColumnRenamed("doc_id", "_of")
+    cut = materialize(repeated(docs, run, least), "cuts").withColumnsRenamed({"doc_id": "_of", "same": "_text"})
     named = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     where = {name: f"c{k}" for k, name in enumerate(docs.columns)}
-    # Null ids are one document too.
-    joined = named.join(cut, F.col(where["doc_id"]).eqNullSafe(F.col("_of")), "left").drop("_of")
     text, chars = where["text"], where.get("n_chars")
+    joined = _with_copies(named, where["doc_id"], text).join(
+        cut, F.col(where["doc_id"]).eqNullSafe(F.col("_of")) & (F.col("_same") == F.col("_text")), "left"
+    ).drop("_of", "_text", "_same")
     schema = named.schema
     if report:
         schema = schema.add("n_words", "long").add("n_removed", "long")
@@ -119,12 +140,18 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = Fa
             for part, texts in W.chunks(batch, text):
                 data, offsets = W.raw(texts)
                 changed, sizes = part.column(text).to_pylist(), part.column(chars).to_pylist() if chars else None
-                places = part.column("places").to_pylist()
-                touched = [i for i, own in enumerate(places) if own]
+                places, copies = part.column("places").to_pylist(), part.column("_copy").to_pylist()
+                touched = [i for i, own in enumerate(places) if own or copies[i]]
                 removed = np.zeros(len(changed), np.int64)
                 words = W.split(texts, W.BLANKS) if touched or report else None
                 number = sentences(words, data) if touched else None
+                if any(copies):
+                    _, doc, place = spans(words, data, run, least)
+                    for i in np.flatnonzero(copies):
+                        places[i] = place[doc == i]
                 for i in touched:
+                    if not len(places[i]):
+                        continue
                     a, b = words.first[i], words.first[i + 1]
                     gone = np.zeros(int(number[b - 1] - number[a]) + 1 + run, bool)
                     for k in range(run):
@@ -140,7 +167,7 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = Fa
                     changed[i] = b"".join(kept).decode()
                     if chars:
                         sizes[i] = len(changed[i])
-                out = part.drop_columns(["places"])
+                out = part.drop_columns(["places", "_copy"])
                 out = out.set_column(out.schema.get_field_index(text), text, pa.array(changed, out.schema.field(text).type))
                 if chars:
                     out = out.set_column(out.schema.get_field_index(chars), chars, pa.array(sizes, out.schema.field(chars).type))
