@@ -195,3 +195,20 @@ def test_substring_dedup_keeps_rows_of_one_id_apart(rows):
     assert (got[3], got[4], got[7], got[8], got[9]) == ("", "Short.", "", "", "")
     twice = rows("doc_id long, text string", (1, said), (1, said), (None, clean), (None, clean), (None, clean))
     assert sorted(r.text for r in substring_dedup.dedup(twice).collect()) == sorted([said, "", clean, "", ""])
+
+
+def test_substring_dedup_of_short_lines_and_of_long_sentences(rows):
+    brief = " ".join(f"V{k}." for k in range(60))
+    lines = "\n".join(f"two l{k}" for k in range(40))
+    docs = rows("doc_id long, text string", (1, brief), (2, f"Opening words. {brief}"), (3, lines), (4, lines), (5, "A. B. C."), (6, "A. B. C."))
+    got = {r.doc_id: r.text for r in substring_dedup.dedup(docs).collect()}
+    assert got == {1: brief, 2: "Opening words. ", 3: lines, 4: "", 5: "A. B. C.", 6: "A. B. C."}
+    passage = " ".join(f"p{k}" for k in range(60))
+    moved = [(k, " ".join([*(f"o{k}x{j}" for j in range(k)), passage, f"tail{k}"])) for k in range(16)]
+    same = [(20, "one " * 100), (21, "one " * 90)]
+    out = substring_dedup.dedup(rows("doc_id long, text string", *moved, *same), report=True).collect()
+    lost = {r.doc_id: r.n_removed for r in out}
+    assert lost[0] == 0 and all(30 <= lost[k] <= 60 for k in range(1, 16))
+    for r in out:
+        assert r.doc_id >= 20 or f"tail{r.doc_id}" in r.text and all(f"o{r.doc_id}x{j}" in r.text.split() for j in range(r.doc_id))
+    assert lost[21] >= 80

@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans: every run of consecutive sentences is hashed and joined over all texts.
 
-A sentence ends with a word that ends in ``.``, ``!`` or ``?``, at a line break, or after ``LONGEST`` words (so that a long
-passage has several sentences even if it has no full stop). A span is ``RUN`` consecutive sentences of one text with
-``LEAST`` words or more, compared by its lower-cased words. The first place of a span, by doc_id and then by place in the
+A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line break. One of more than ``LONGEST`` words is cut where
+its words say so: before each word whose hash is the least among its ``AROUND`` neighbours on both sides, so that the cuts of
+a passage move with it, whatever stands before it. Only where no word does that for ``LONGEST`` words, as in one word
+repeated, is it cut by count. A span is ``RUN`` consecutive sentences of one text, and as many more as it takes to have
+``LEAST`` words, compared by its lower-cased words. The first place of a span, by doc_id and then by place in the
 text, stays; every sentence that some other place of a repeated span covers is removed. Spans may overlap. What
 remains of a text keeps its characters; a removed run takes the white space behind it along.
 
@@ -30,6 +32,7 @@ from tidemark.scratch import counted, materialize
 RUN = 3
 LEAST = 8
 LONGEST = 16
+AROUND = 3
 _MORE = W.mix(np.arange(1, LONGEST + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -43,11 +46,27 @@ def sentences(words: W.Words, data: np.ndarray) -> np.ndarray:
     new = np.ones(total, bool)
     new[1:] = final[:-1] | (lines[words.start[1:]] > lines[words.end[:-1]]) | (words.doc[1:] != words.doc[:-1])
     begins = np.flatnonzero(new)
+    sizes = np.diff(np.append(begins, total))
+    # Place from the sentence's begin and from its end.
+    place = np.arange(total) - np.repeat(begins, sizes)
+    behind = np.repeat(sizes, sizes) - 1 - place
+    cut = (np.repeat(sizes, sizes) > LONGEST) & (place > 0)
+    for k in range(1, AROUND + 1):
+        cut[k:] &= (place[k:] < k) | (words.hash[k:] < words.hash[:-k])
+        cut[:-k] &= (behind[:-k] < k) | (words.hash[:-k] <= words.hash[k:])
+    new |= cut
+    begins = np.flatnonzero(new)
     place = np.arange(total) - np.repeat(begins, np.diff(np.append(begins, total)))
     new |= place % LONGEST == 0
     return np.cumsum(new) - 1
 
 
+def lengths(begins: np.ndarray, total: int, run: int, least: int) -> np.ndarray:
+    """Per sentence: how many sentences, from it on, the span that begins there has."""
+    enough = np.searchsorted(np.append(begins, total), begins + least)
+    return np.maximum(enough - np.arange(len(begins)), run)
+
+
 def spans(words: W.Words, data: np.ndarray, run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, ...]:
     """Per span: its hash, its text's number, and the number in that text of its first sentence."""
     number = sentences(words, data)
@@ -59,16 +78,15 @@ def spans(words: W.Words, data: np.ndarray, run: int = RUN, least: int = LEAST)
     hashed = W.mix(np.add.reduceat(words.hash * _MORE[place], begins))
     doc = words.doc[begins]
     first = np.searchsorted(doc, doc)
-    whole = len(begins) - run + 1
-    if whole < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    value, length = np.zeros(whole, np.uint64), np.zeros(whole, np.int64)
-    for k in range(run):
-        value = W.mix(value * np.uint64(31) + hashed[k:k + whole])
-        length += sizes[k:k + whole]
-    good = (doc[:whole] == doc[run - 1:run - 1 + whole]) & (length >= least)
-    at = np.flatnonzero(good)
-    return value[at], doc[at], at - first[at]
+    # Where each sentence's text has its last one.
+    last = np.searchsorted(doc, doc, side="right")
+    length = lengths(begins, len(number), run, least)
+    at = np.flatnonzero(np.arange(len(begins)) + length <= last)
+    value = np.zeros(len(at), np.uint64)
+    for k in range(int(length[at].max()) if len(at) else 0):
+        more = length[at] > k
+        value[more] = W.mix(value[more] * np.uint64(31) + hashed[at[more] + k])
+    return value, doc[at], at - first[at]
 
 
 def _spans_of(run: int, least: int, wanted=None):
@@ -145,6 +163,9 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = Fa
                 removed = np.zeros(len(changed), np.int64)
                 words = W.split(texts, W.BLANKS) if touched or report else None
                 number = sentences(words, data) if touched else None
+                if touched:
+                    begins = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(number) else number
+                    length = lengths(begins, len(number), run, least)
                 if any(copies):
                     _, doc, place = spans(words, data, run, least)
                     for i in np.flatnonzero(copies):
@@ -153,10 +174,11 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST, report: bool = Fa
                     if not len(places[i]):
                         continue
                     a, b = words.first[i], words.first[i + 1]
-                    gone = np.zeros(int(number[b - 1] - number[a]) + 1 + run, bool)
-                    for k in range(run):
-                        gone[np.asarray(places[i]) + k] = True
-                    flags = gone[number[a:b] - number[a]]
+                    own = np.asarray(places[i])
+                    steps = np.zeros(int(number[b - 1] - number[a]) + 2, np.int64)
+                    np.add.at(steps, own, 1)
+                    np.subtract.at(steps, own + length[number[a] + own], 1)
+                    flags = (np.cumsum(steps) > 0)[number[a:b] - number[a]]
                     removed[i] = np.count_nonzero(flags)
                     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))).reshape(-1, 2)
                     at, kept = offsets[i], []
