@@ -7,6 +7,7 @@ from zlib import crc32
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_format, context_mixing, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
@@ -212,3 +213,32 @@ def test_substring_dedup_of_short_lines_and_of_long_sentences(rows):
     for r in out:
         assert r.doc_id >= 20 or f"tail{r.doc_id}" in r.text and all(f"o{r.doc_id}x{j}" in r.text.split() for j in range(r.doc_id))
     assert lost[21] >= 80
+
+
+def test_pipeline_keeps_rows_without_or_with_repeated_ids(spark, tmp_path):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    one, two, three, four, five = (" ".join(f"{x}{k}" for k in range(40)) for x in ("alpha", "beta", "gamma", "delta", "omega"))
+    data = [
+        (1, one), (1, two), (2, two), (2, three), (3, three), (None, four), (None, five), (4, one), (5, f"{three} more"), (6, five[:-7]),
+        (7, "too short"), (None, ""), (8, None), (9, "zeta " + " ".join(f"eta{k}" for k in range(30))), (9, "zeta " + " ".join(f"eta{k}" for k in range(30))),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in one_of_each(docs.withColumn("_same", F.lit(1)).repartition(3)).drop("_same").collect()]
+    want = [*data[:2], data[3], *data[5:7], *data[9:14]]
+    assert sorted(map(str, kept)) == sorted(map(str, want))
+    path = str(tmp_path)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "nothing of this stands in any text at all here now")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    whole = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    tokens = Counter()
+    for r in corpus_pipeline.run(spark, path).collect():
+        tokens[r.doc_id] += r.length
+    # Short texts go by a rule, and what (6, ...) repeats of a row without id goes by its spans.
+    want = Counter()
+    for i, text in [(1, one), (1, two), (2, three), (None, four), (None, five), data[13]]:
+        want[i] += len(whole.encode(text, add_special_tokens=False).ids) + 1
+    assert {i: tokens[i] for i in want} == dict(want) and set(tokens) <= {*want, 6}

@@ -117,7 +117,9 @@ def _bound(n: str, m: str, one: str, other: str, percent: int) -> str:
     return f"100 * {overlap} >= {percent} * ({n} + {m} - {overlap})"
 
 
-def _sets_of(width: int):
+def _sets_of(width: int, extra: list[str]):
+    schema = pa.schema([*_SETS, *((name, pa.int64()) for name in extra)])
+
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(COUNTERS, np.int64)
         for batch in batches:
@@ -133,16 +135,16 @@ def _sets_of(width: int):
                 none = pa.nulls(len(rows))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()),
-                    none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()),
-                ], schema=_SETS)
+                    none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()), *(part.column(name) for name in extra),
+                ], schema=schema)
         found = list(sketch.pieces(table))
         for k in range(0, len(found), 8):
             piece, at, counts = zip(*found[k:k + 8], strict=True)
             none = pa.nulls(len(piece))
             yield pa.RecordBatch.from_arrays([
                 none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
-                pa.array(piece, pa.int32()), pa.array(at, pa.binary()), pa.array(counts, pa.binary()),
-            ], schema=_SETS)
+                pa.array(piece, pa.int32()), pa.array(at, pa.binary()), pa.array(counts, pa.binary()), *(none.cast(pa.int64()) for _ in extra),
+            ], schema=schema)
 
     return job
 
@@ -233,15 +235,15 @@ def _exact(percent: int):
 
 
 class NgramJoin:
-    """The join over ``docs(doc_id, text)``; ``members`` and ``links`` are its results."""
+    """The join over ``docs(doc_id, text)``; ``members`` and ``links`` are its results. Members carry the bigints ``extra``."""
 
-    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT):
+    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, extra: tuple[str, ...] = ()):
         self.spark, self.width, self.percent = docs.sparkSession, width, percent
         self.docs = docs.select("doc_id", "text")
-        fields = "doc_id long, n_shingles long, node long, bits binary, " + sketch.ROWS
-        both = materialize(self.docs.mapInArrow(_sets_of(width), fields), "sets")
-        #: doc_id, n_shingles, node (null for an empty set)
-        self.members = both.filter("n_shingles is not null").select("doc_id", "n_shingles", "node")
+        fields = "doc_id long, n_shingles long, node long, bits binary, " + sketch.ROWS + "".join(f", {name} long" for name in extra)
+        both = materialize(docs.select("doc_id", "text", *extra).mapInArrow(_sets_of(width, list(extra)), fields), "sets")
+        #: doc_id, n_shingles, node (null for an empty set), extra
+        self.members = both.filter("n_shingles is not null").select("doc_id", "n_shingles", "node", *extra)
         self._bits = both.filter("node is not null").select("node", "bits", F.col("n_shingles").alias("n"))
         self._counts = sketch.total(both.filter("piece is not null"), COUNTERS)
 
@@ -359,11 +361,14 @@ class NgramJoin:
         sure = with_both(may, arrays, ["grams"], [("grams_a", "grams_b")])
         return materialize(sure.mapInArrow(_exact(self.percent), "a long, b long"), "links")
 
+    def rooted(self) -> DataFrame:
+        """``members`` with ``root``, the least node of their component, as a written table."""
+        roots = components(self.links())
+        return materialize(self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+
     def grouped(self) -> DataFrame:
         """``doc_id, n_shingles, node, component_id``: one row per row of the input."""
-        roots = components(self.links())
-        rows = self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rows = materialize(rows, "rooted")
+        rows = self.rooted()
         least = rows.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
         return rows.join(least, "root", "left").select(
             "doc_id", "n_shingles", "node", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
@@ -371,12 +376,21 @@ class NgramJoin:
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without near copies: of each component the row with the least doc_id stays; empty texts all stay.
+    """``docs`` without near copies: of each component one row stays, and all rows without words or without a doc_id.
 
-    Of rows that repeat doc_id and text in a component, one stays.
+    The row that stays has the least doc_id of the component; of rows that repeat it, the least hash of the text; of rows
+    that repeat both, the least hash of the whole row. Rows that repeat a doc_id in different components are different rows.
     """
-    groups = NgramJoin(docs, width, percent).grouped()
-    keep = groups.filter("node is not null and doc_id = component_id").select("doc_id").distinct()
-    empty = groups.filter("node is null").select("doc_id").distinct()
-    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return docs.filter(~wordless).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter(wordless).join(empty, "doc_id", "left_semi"))
+    named = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    key, text = (f"c{docs.columns.index(name)}" for name in ("doc_id", "text"))
+    hashed = named.withColumn("_same", F.xxhash64(text))
+    found = NgramJoin(hashed.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), "_same"), width, percent, ("_same",))
+    rows = found.rooted().filter("root is not null and doc_id is not null").groupBy("root", "doc_id", "_same").agg(F.count(F.lit(1)).alias("n"))
+    least = rows.groupBy("root").agg(F.min(F.struct("doc_id", "_same", "n")).alias("least"))
+    keep = materialize(least.select(F.col("least.doc_id").alias(key), "least._same", "least.n"), "keep")
+    wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = hashed.join(keep.filter("n = 1").drop("n"), [key, "_same"], "left_semi").drop("_same")
+    rank = F.row_number().over(Window.partitionBy(key, "_same").orderBy(F.xxhash64(*named.columns)))
+    often = hashed.join(keep.filter("n > 1").drop("n"), [key, "_same"], "left_semi").withColumn("_rank", rank).filter("_rank = 1")
+    rest = named.filter(wordless | F.col(key).isNull())
+    return once.select(*named.columns).unionByName(often.select(*named.columns)).unionByName(rest).toDF(*docs.columns)
