@@ -242,3 +242,18 @@ def test_pipeline_keeps_rows_without_or_with_repeated_ids(spark, tmp_path):
     for i, text in [(1, one), (1, two), (2, three), (None, four), (None, five), data[13]]:
         want[i] += len(whole.encode(text, add_special_tokens=False).ids) + 1
     assert {i: tokens[i] for i in want} == dict(want) and set(tokens) <= {*want, 6}
+
+
+def test_license_notices_wrapped_and_near_each_other(rows):
+    bsd = "Copyright (c)\n\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that\n"
+    texts = {
+        1: (bsd, "bsd"), 2: ("This is licensed under the GNU General\nPublic License version\n3.", "gpl-3"),
+        3: ("Subject to the terms of the Mozilla Public\nLicense, version 2.0.", "mpl-2"), 4: ("GNU Lesser General Public\nLicense v2.1", "lgpl"),
+        5: ("licensed under CC BY-SA 4.0", "cc-by-sa"), 6: ("made available under CC BY-NC-4.0, licensed", "cc-by-nc"),
+        7: ("GNU General Public License version 2", "gpl-2"), 8: ("licensed under CC BY 4.0", ""), 9: ("with or without\nmodification are permitted", ""),
+        10: ("x " * 400 + "\n" + bsd, "bsd"), 11: ("Licensed under the Apache License, Version 2.0.\nEs geht mit", "apache-2"),
+    }
+    docs = rows("doc_id long, text string", *[(k, text) for k, (text, _) in texts.items()])
+    assert {r.doc_id: r.labels for r in license_scan.scan(docs).collect()} == {k: label for k, (_, label) in texts.items()}
+    lines = {(r.doc_id, r.label): r.line for r in license_scan.matches(docs).collect()}
+    assert lines[1, "bsd"] == 0 and lines[2, "gpl-3"] == 0
