@@ -257,3 +257,14 @@ def test_license_notices_wrapped_and_near_each_other(rows):
     assert {r.doc_id: r.labels for r in license_scan.scan(docs).collect()} == {k: label for k, (_, label) in texts.items()}
     lines = {(r.doc_id, r.label): r.line for r in license_scan.matches(docs).collect()}
     assert lines[1, "bsd"] == 0 and lines[2, "gpl-3"] == 0
+
+
+def test_sharding_of_tables_full_of_copies(rows):
+    for size, bound in ((2, 0.05), (10, 0.45)):
+        docs = rows("doc_id long, text string", *[(k, f"t{k // size}") for k in range(800)])
+        got = sharding.sharded(docs)
+        counts = Counter(r.shard for r in got.collect())
+        assert set(counts.values()) == {100}
+        pairs = sharding.cut(got).first()
+        assert pairs["cut"] <= bound * pairs["pairs"], (size, pairs)
+    assert sharding.quotas({(0, 1): 5, (1, 2): 4, (2, 0): 3, (1, 0): 2}, {0: 0, 1: 0, 2: 0}) == {(0, 1): 5, (1, 2): 3, (2, 0): 3, (1, 0): 2}

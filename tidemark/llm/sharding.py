@@ -2,11 +2,12 @@
 
 The law is ``rows``: the counts of two shards differ by one at most. Links are equal texts: a group's members are all
 neighbours of each other. Documents first get shards in a random, exactly balanced deal. Then, in each round, every linked
-document whose group has more members in another shard wants to go there. A shard takes as many as its capacity leaves
-beside its linked documents, from every other shard in proportion to who wants to come; the rest may come in a later
-round, or towards the shard that then has most of the group and still has room. Unlinked documents move at no cost, so
-last they fill every shard up to its capacity, as many as possible where they are. A group larger than a shard spreads over
-the shards that it needs.
+document whose group has as many members in another shard, or more, wants to go there. As many go as want to change places
+in pairs or longer circles of shards, equal counts each way, and then as many as the capacity leaves beside a shard's linked
+documents. Every move lowers the cut. Which of several equal shards a group prefers is dealt anew in each round; where
+shards are full, groups also gather in the best shard that has room. Rounds go on until ``IDLE`` of them in a row
+found no move. Unlinked documents move at no cost, so last they fill every shard up to its capacity, as many as possible where
+they are. A group larger than a shard spreads over the shards that it needs.
 
 Texts are read once; rounds work on a written table of ids and hashes. Numbers within a shard are found in two steps, by
 counts of many small buckets and by rank within a bucket, so no shard, group or flow is sorted in one task. What the
@@ -23,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.scratch import counted, materialize
 
 SHARDS = 8
-ROUNDS = 6
+#: Rounds without a move, preferences dealt anew in each, after which propagation ends.
+IDLE = 3
 #: Rows of one bucket of the numbering, on average.
 BUCKET_ROWS = 4000
 
@@ -46,7 +48,41 @@ def _case(column: Column, values: dict[int, int], default: int = 0) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in values.items() for x in kv]), column.cast("long")), F.lit(default).cast("long")) if values else F.lit(default).cast("long")
 
 
-def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def quotas(flows: dict[tuple[int, int], int], free: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many of each wished flow may go: circles of shards change places, shortest circles first; then free room is filled."""
+    left, out = dict(flows), dict.fromkeys(flows, 0)
+
+    def take(path: list[tuple[int, int]], n: int) -> None:
+        for edge in path:
+            left[edge] -= n
+            out[edge] += n
+
+    def path(start: int, ends: set[int]) -> list[tuple[int, int]] | None:
+        """A shortest way along wished flows, widest edges first."""
+        ways, seen = [(start, [])], set()
+        for at, way in ways:
+            for edge in sorted((e for e, n in left.items() if n > 0 and e[0] == at and e[1] not in seen), key=lambda e: (-left[e], e)):
+                if edge[1] in ends:
+                    return [*way, edge]
+                seen.add(edge[1])
+                ways.append((edge[1], [*way, edge]))
+        return None
+
+    while circles := [way for k in sorted({i for i, _ in left}) if (way := path(k, {k}))]:
+        best = min(circles, key=len)
+        take(best, min(left[edge] for edge in best))
+    room = {k: max(n, 0) for k, n in free.items()}
+    while ways := [way for k in sorted({i for i, _ in left}) if (way := path(k, {x for x, n in room.items() if n > 0 and x != k}))]:
+        # Whoever comes fills the room at the end, and leaves room at the beginning.
+        best = min(ways, key=len)
+        n = min(room[best[-1][1]], *(left[edge] for edge in best))
+        take(best, n)
+        room[best[-1][1]] -= n
+        room[best[0][0]] += n
+    return out
+
+
+def sharded(docs: DataFrame, shards: int = SHARDS, idle: int = IDLE) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot, linked`` for every row of ``docs(doc_id, text)``."""
     text = F.coalesce("text", F.lit(""))
     rows, total = counted(docs.select(
@@ -62,34 +98,33 @@ def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
         .withColumn("shard", F.pmod("number", F.lit(shards)).cast("int")).drop("number", "members"), "dealt"
     )
     linked, count = counted(dealt.filter("linked").select("uid", "same", "shard"), "linked")
-    full: list[int] = []
-    for _ in range(rounds if count else 0):
+    turn = still = 0
+    while count and still < idle:
         sizes = {row["shard"]: row["n"] for row in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         free = {k: room[k] - sizes.get(k, 0) for k in range(shards)}
-        full = [k for k in free if free[k] <= 0]
         tally = linked.groupBy("same", "shard").agg(F.count(F.lit(1)).alias("n"))
-        # A group's own full shard is no target, but its members there have no reason to leave it.
-        target = tally.groupBy("same").agg(
-            F.max(F.when(~F.col("shard").isin(full), F.struct("n", F.xxhash64("same", "shard").alias("h"), "shard"))).alias("most")
-        ).select("same", F.col("most.shard").alias("to"), F.col("most.n").alias("there"))
-        own = tally.withColumnRenamed("n", "here")
-        wish = linked.join(own, ["same", "shard"]).join(target, "same").filter("to <> shard and there >= here")
-        wish = wish.filter(~F.col("shard").isin(full) | (F.col("there") > F.col("here"))).select("uid", "shard", "to")
-        flows = {(r["shard"], r["to"]): r["n"] for r in wish.groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if not flows:
+        quota: dict[tuple[int, int], int] = {}
+        # Towards the shard with most of the group; without a move, towards the one of those that have room.
+        for full in [], [k for k in free if free[k] <= 0]:
+            most = F.max(F.when(~F.col("shard").isin(full), F.struct("n", F.xxhash64("same", "shard", F.lit(turn)).alias("h"), "shard")))
+            target = tally.groupBy("same").agg(most.alias("most")).select("same", F.col("most.shard").alias("to"), F.col("most.n").alias("there"))
+            wish = linked.join(tally.withColumnRenamed("n", "here"), ["same", "shard"]).join(target, "same")
+            wish = wish.filter("to <> shard and there >= here").select("uid", "shard", "to")
+            flows = {(r["shard"], r["to"]): r["n"] for r in wish.groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
+            quota = quotas(flows, free)
+            if any(quota.values()) or not flows or not full:
+                break
+        turn += 1
+        if not flows and not full:
             break
-        quota = {}
-        for k in range(shards):
-            coming = {i: n for (i, j), n in flows.items() if j == k}
-            asked = sum(coming.values())
-            for i, n in coming.items():
-                quota[i * shards + k] = n if asked <= free[k] else n * free[k] // asked
         if not any(quota.values()):
-            break
+            still += 1
+            continue
+        still = 0
         ranked = numbered(wish, ["shard", "to"], "rank", buckets)
-        goes = ranked.filter(F.col("rank") < _case(F.col("shard") * shards + F.col("to"), quota)).select("uid", "to")
+        goes = ranked.filter(F.col("rank") < _case(F.col("shard") * shards + F.col("to"), {i * shards + j: n for (i, j), n in quota.items()}))
         linked = materialize(
-            linked.join(goes, "uid", "left").select("uid", "same", F.coalesce("to", "shard").alias("shard")), "linked"
+            linked.join(goes.select("uid", "to"), "uid", "left").select("uid", "same", F.coalesce("to", "shard").alias("shard")), "linked"
         )
     sizes = {row["shard"]: row["n"] for row in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     free = {k: room[k] - sizes.get(k, 0) for k in range(shards)}
