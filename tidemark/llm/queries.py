@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat_format, context_mixing, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
+    best_fit, chat_format, context_mixing, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
 )
 from tidemark.llm.ngram_join import NgramJoin
 
@@ -111,3 +111,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op4_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Probabilities of all documents under a model of four fifths of them."""
     return context_mixing.scored(table(spark, folder, "documents"))
+
+
+@query
+def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in sequences of 2048 tokens by best-fit decreasing."""
+    return best_fit.packed(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
