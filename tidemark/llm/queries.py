@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    best_fit, chat_format, context_mixing, decontaminate, html_text, license_scan, packing, quality_rules, sharding, substring_dedup,
+    best_fit, chat_format, context_mixing, decontaminate, html_text, license_scan, merkle, packing, quality_rules, sharding, substring_dedup,
 )
 from tidemark.llm.ngram_join import NgramJoin
 
@@ -117,3 +117,12 @@ def op4_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in sequences of 2048 tokens by best-fit decreasing."""
     return best_fit.packed(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, proof, and the root of its version after a chosen fifth of the texts were lower-cased."""
+    return merkle.Manifest(table(spark, folder, "documents")).report()
+
+
+ORACLES["op11_merkle_manifest"] = merkle.oracle()
