@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    best_fit, chat_format, context_mixing, decontaminate, html_text, license_scan, merkle, packing, quality_rules, sharding, substring_dedup,
+    best_fit, chat_format, context_mixing, decontaminate, html_text, license_scan, merkle, packing, quality_rules, sharding, substring_dedup, whitening,
 )
 from tidemark.llm.ngram_join import NgramJoin
 
@@ -126,3 +126,9 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_merkle_manifest"] = merkle.oracle()
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first eight whitened components of every usable embedding."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
