@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import (
     composite_name,
@@ -41,48 +41,76 @@ class UserSync:
     user_roles: DataFrame
 
 
-OPTIONAL_FIELDS = ("name", "email", "first_name", "last_name")
+@dataclass(frozen=True)
+class IndexFacts:
+    """Whether any record of an index has a name or an address of its own (not in its contact)."""
+
+    named: bool
+    addressed: bool
+
+
+def _own_name(index: DataFrame) -> Column:
+    """A record's own name: ``name``, else what there is of first and last name."""
+    parts = [optional_col(index, "first_name"), optional_col(index, "last_name")]
+    composed = F.when(F.coalesce(*parts).isNotNull(), composite_name(*parts))
+    return F.coalesce(optional_col(index, "name"), composed)
+
+
+def _own_email(index: DataFrame) -> Column:
+    return optional_col(index, "email")
 
 
-def known_fields(index: DataFrame) -> DataFrame:
-    """The index, written once, without the optional fields that no record of it has.
+def with_facts(index: DataFrame) -> tuple[DataFrame, IndexFacts]:
+    """The index, written once, and what it has as a whole, taken in the same job."""
+    written, seen = measured(
+        index, "agents", named=F.bool_or(_own_name(index).isNotNull()), addressed=F.bool_or(_own_email(index).isNotNull())
+    )
+    return written, IndexFacts(bool(seen["named"]), bool(seen["addressed"]))
+
+
+def _placeholder(index: DataFrame, fields: tuple[str, ...], own: Column, text: str) -> tuple[Column, Column | None]:
+    """What stands in where a record has nothing, and the fact about the whole index that it waits for, if any.
 
-    Which field stands in for a name depends on what the index has as a whole: where names exist, a record without
-    one is a fault, and where none exist, a placeholder is put.
+    Where the frame has no such field, it is the placeholder. Where it has one, records without a value are faults, unless
+    no record has a value there and the index keeps its values in contacts.
     """
-    written, seen = measured(index, "agents", **{f"has_{c}": F.bool_or(F.col(c).isNotNull()) for c in OPTIONAL_FIELDS})
-    return written.drop(*[c for c in OPTIONAL_FIELDS if not seen[f"has_{c}"]])
+    if not any(has_field(index, name) for name in fields):
+        return F.lit(text), None
+    if not has_field(index, "contact"):
+        return F.lit(None).cast("string"), None
+    return F.lit(text), F.bool_or(own.isNotNull()) | ~F.bool_or(F.col("contact").isNotNull())
 
 
-def resolve_users(index: DataFrame, details: DataFrame) -> DataFrame:
-    """One row per index record; each value from the details record first, then from the index.
+def resolve_users(index: DataFrame, details: DataFrame, facts: IndexFacts | None = None) -> DataFrame:
+    """One row per index record, each value from the first place that has it for this record.
 
-    Which index field stands in for the name depends on what the index has: ``name``, else first and last name,
-    else the contact's name.
+    A name: the details record, the record's ``name``, its first and last name, its contact. An address likewise. Only
+    whether a record without any gets a placeholder depends on the index as a whole: where some record has a name of its own,
+    one without is a fault. ``facts`` are those of the whole index; without them they are taken here, as one row.
     """
     det = conform(details, RAW["agent_details"]).filter(F.col("id").isNotNull())
+    own_name, own_email = _own_name(index), _own_email(index)
+    if facts is not None:
+        name_else = F.lit(None if facts.named else UNKNOWN_NAME).cast("string")
+        email_else = F.lit(None if facts.addressed else PLACEHOLDER_EMAIL).cast("string")
+    else:
+        name_else, named = _placeholder(index, ("name", "first_name", "last_name"), own_name, UNKNOWN_NAME)
+        email_else, addressed = _placeholder(index, ("email",), own_email, PLACEHOLDER_EMAIL)
+        waiting = {f"_{k}": fact for k, fact in (("named", named), ("addressed", addressed)) if fact is not None}
+        if waiting:
+            # One row whatever the index.
+            whole = index.agg(*[F.coalesce(fact, F.lit(False)).alias(name) for name, fact in waiting.items()])
+            index = index.join(F.broadcast(whole))
+            name_else = F.when(~F.col("_named"), name_else) if "_named" in waiting else name_else
+            email_else = F.when(~F.col("_addressed"), email_else) if "_addressed" in waiting else email_else
     joined = left_enrich(
         index.withColumn("id", F.col("id").cast("string")),
         det.withColumn("moment", safe_timestamp(F.col("updated_at"))), "id", ["moment", "updated_at"],
     )
-    if has_field(index, "name"):
-        name = first_non_null(F.col("det.contact.name"), F.col("name"))
-    elif has_field(index, "first_name") and has_field(index, "last_name"):
-        name = first_non_null(F.col("det.contact.name"), composite_name(F.col("first_name"), F.col("last_name")))
-    else:
-        name = first_non_null(
-            F.col("det.contact.name"), optional_col(index, "contact.name"), default=UNKNOWN_NAME
-        )
-    if has_field(index, "email"):
-        email = first_non_null(F.col("det.contact.email"), F.col("email"))
-    else:
-        email = first_non_null(
-            F.col("det.contact.email"), optional_col(index, "contact.email"), default=PLACEHOLDER_EMAIL
-        )
     return joined.select(
         F.col("id").alias("raw_id"),
-        name.alias("user_name"),
-        email.alias("user_email"),
+        first_non_null(F.col("det.contact.name"), own_name, optional_col(index, "contact.name"), name_else).alias("user_name"),
+        first_non_null(F.col("det.contact.email"), own_email, optional_col(index, "contact.email"), email_else).alias("user_email"),
         F.coalesce("det.created_at", optional_col(index, "created_at")).alias("created_at"),
         F.coalesce("det.updated_at", optional_col(index, "updated_at")).alias("updated_at"),
         F.col("det.group_ids").alias("raw_group_ids"),
@@ -148,10 +176,10 @@ def build_users(
 
 def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     """Sync one day's users into the store; returns the version that holds them."""
-    index = known_fields(read_entity(spark, root, day, "agents", RAW["agents"]))
+    index, facts = with_facts(read_entity(spark, root, day, "agents", RAW["agents"]))
     details, roles = load(spark, root, day, "agent_details"), load(spark, root, day, "roles")
     # Written once: one join and one parse serve users, links, quarantine and metrics.
-    checked = stage(clean_users(resolve_users(index, details)), "users")
+    checked = stage(clean_users(resolve_users(index, details, facts)), "users")
     faults = union_fill([
         Q.quarantine_record(checked.bad, "agents"),
         mistyped_files(checked.tagged, "agents"),
