@@ -82,3 +82,54 @@ def test_empty_forest(spark, rows):
     assert H.propagate_up(edges, none).isEmpty()
     assert H.find_cycles(edges).isEmpty() and H.closure(edges).isEmpty()
     assert H.descendants(edges, none).isEmpty()
+
+
+def test_descendants_of_a_deep_chain_take_few_rounds(spark, monkeypatch):
+    parent = {n: n - 1 for n in range(1, 3001)} | {5000 + n: n for n in range(0, 3000, 7)}
+    edges, starts = frames(spark, parent, [0, 10, 2900, 5007])
+    tables = []
+    written = H.measured
+    monkeypatch.setattr(H, "measured", lambda df, label, **figures: tables.append(label) or written(df, label, **figures))
+    found = {(r.start, r.node): r.depth for r in H.descendants(edges, starts).collect()}
+    below = {}
+    for node in {*parent, 0}:
+        above, depth = parent.get(node), 1
+        while above is not None:
+            if above in (0, 10, 2900, 5007):
+                below[above, node] = depth
+            above, depth = parent.get(above), depth + 1
+    assert found == below
+    # The longest way to an asked node is 2,890 steps.
+    assert tables.count("jumps") <= 14
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 13, 40])
+def test_closure_around_a_cycle_takes_no_more_rows_than_it_gives(spark, monkeypatch, size):
+    parent = {n: (n + 1) % size for n in range(size)} | {100: 0, 101: 100, 102: size - 1, 103: 101, 200: 201}
+    edges, _ = frames(spark, parent, [])
+    rows_made = []
+    extend = H._extend
+    monkeypatch.setattr(H, "_extend", lambda *x: rows_made.append(1) or extend(*x))
+    _, cyclic, related = brute(parent, [])
+    rows = H.closure(edges, with_path=True).collect()
+    assert {(r.node, r.ancestor): r.depth for r in rows} == related and len(rows) == len(related)
+    assert {r.node for r in rows if r.in_cycle} == cyclic == set(range(size))
+    for row in rows:
+        assert [row.path[0], row.path[-1], len(row.path)] == [row.node, row.ancestor, row.depth + 1]
+        assert all(parent[a] == b for a, b in zip(row.path, row.path[1:]))
+    # Tails are composed, the cycle's own pairs are not: rounds go with the tail's length.
+    assert len(rows_made) <= 6
+    places = {r.node: r for r in H.rings(edges.selectExpr("child", "parent", "10L as length")).collect()}
+    assert {n: (r.ring, r.size, r.round) for n, r in places.items()} == {n: (0, size, 10 * size) for n in range(size)}
+    assert all((places[n].place - places[parent[n]].place) % size == 1 % size and places[n].way == 10 * places[n].place for n in places)
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_descendants_and_closure_of_random_graphs(spark, seed):
+    parent, seeds = random_forest(seed)
+    edges, starts = frames(spark, parent, seeds)
+    related = brute(parent, seeds)[2]
+    below = {(r.node, r.start): r.depth for r in H.descendants(edges, starts).collect()}
+    assert below == {pair: d for pair, d in related.items() if pair[1] in seeds and pair[0] != pair[1]}
+    rows = H.closure(edges).collect()
+    assert {(r.node, r.ancestor): r.depth for r in rows} == related and len(rows) == len(related)

@@ -15,7 +15,7 @@ from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.scratch import Rounds, counted, materialize
+from tidemark.scratch import Rounds, counted, materialize, measured
 
 # A level costs one scan of the edges, a doubling round about four (it shuffles them). How deep a forest is shows
 # only on the way, so levels are climbed until they have cost about as much as doubling would have.
@@ -149,7 +149,11 @@ def closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
     distance; ``in_cycle`` marks the pair of such a node with itself. ``with_path`` adds the chain of nodes
     from the node to the ancestor.
     """
-    edges = _written_edges(edges)
+    return _closure(_written_edges(edges).withColumn("length", F.lit(1).cast("bigint")), with_path).drop("distance")
+
+
+def _closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
+    """As ``closure``, over written ``edges(child, parent, length)``; ``distance`` is the sum of the lengths on the way."""
     known = Rounds(edges.sparkSession, "pairs")
     at_reach = known.add(_as_pairs(edges, with_path))
     reach = 1
@@ -167,15 +171,13 @@ def closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
     if remaining:
         # As in leading_into_cycles: a reach that no node falls short of any more means that none ever will.
         trapped = pairs.filter(F.col("depth") == reach).select("node").distinct()
-        inside = edges.join(trapped, F.col("child") == F.col("node"), "left_semi")
-        pairs = pairs.join(trapped, "node", "left_anti").unionByName(
-            _compose_shortest(_as_pairs(inside, with_path))
-        )
+        inside = materialize(edges.join(trapped, F.col("child") == F.col("node"), "left_semi"), "inside")
+        pairs = pairs.join(trapped, "node", "left_anti").unionByName(_around(inside, with_path))
     return pairs.withColumn("in_cycle", F.col("node") == F.col("ancestor"))
 
 
 def _as_pairs(edges: DataFrame, with_path: bool) -> DataFrame:
-    columns = [F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")]
+    columns = [F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"), F.col("length").alias("distance")]
     if with_path:
         columns.append(F.array("child", "parent").alias("path"))
     return edges.select(*columns)
@@ -188,6 +190,7 @@ def _extend(lower: DataFrame, upper: DataFrame) -> DataFrame:
         F.col("node"),
         F.col("_up_ancestor").alias("ancestor"),
         (F.col("depth") + F.col("_up_depth")).alias("depth"),
+        (F.col("distance") + F.col("_up_distance")).alias("distance"),
     ]
     if "path" in lower.columns:
         tail = F.slice(F.col("_up_path"), F.lit(2), F.size("_up_path"))
@@ -195,35 +198,116 @@ def _extend(lower: DataFrame, upper: DataFrame) -> DataFrame:
     return lower.join(carried, F.col("ancestor") == F.col("_up_node")).select(*columns)
 
 
-def _compose_shortest(pairs: DataFrame) -> DataFrame:
-    """Closure where chains never end: one row per pair, the shortest way, until no pair is added."""
-    known, size = counted(pairs, "pairs")
-    rest = [c for c in pairs.columns if c not in ("node", "ancestor", "depth")]
-    best = F.min(F.struct("depth", *rest)).alias("best")
+def rings(edges: DataFrame) -> DataFrame:
+    """``node, ring, place, size, way, round``: the place of every node of a cycle on it.
+
+    ``ring`` is the cycle's least node. ``place`` counts the steps from a node up to it (0 for the least node itself), ``size`` the nodes
+    of the cycle; ``way`` and ``round`` are the same in lengths of ``edges(child, parent, length)``. From a node to another one
+    of its cycle it is ``place - place`` steps, modulo the size. Rounds: about log2 of the longest cycle.
+    """
+    nodes = find_cycles(edges)
+    inside = materialize(edges.join(nodes, F.col("child") == F.col("node"), "left_semi").select("child", "parent", "length"), "ring")
+    # The least of the 2**k nodes from each one on; when a round changes none, every window has the least of its cycle.
+    lows = inside.select("child", F.col("parent").alias("at"), F.col("child").alias("low"))
+    for _ in range(ROUND_LIMIT):
+        onward = lows.select(F.col("child").alias("_child"), F.col("at").alias("_at"), F.col("low").alias("_low"))
+        lower = F.col("_low") < F.col("low")
+        lows, seen = measured(lows.join(onward, F.col("at") == F.col("_child")).select(
+            "child", F.col("_at").alias("at"), F.least("low", "_low").alias("low"), lower.alias("fell")
+        ), "lows", fell=F.count_if("fell"))
+        if not seen["fell"]:
+            break
+        lows = lows.drop("fell")
+    else:
+        raise NoConvergence("cycles did not settle")
+    owner = lows.select(F.col("child").alias("node"), F.col("low").alias("ring"))
+    # From the least node its own mark is met again after the whole way around.
+    steps = materialize(nearest_marked(inside, owner.select(F.col("ring").alias("node")).distinct()), "steps")
+    whole = steps.filter("node = mark").select(F.col("mark").alias("ring"), F.col("depth").alias("size"), F.col("distance").alias("round"))
+    first = F.col("node") == F.col("mark")
+    placed = steps.select(
+        "node", F.col("mark").alias("ring"), F.when(first, 0).otherwise(F.col("depth")).alias("place"),
+        F.when(first, 0).otherwise(F.col("distance")).alias("way"),
+    )
+    return placed.join(whole, "ring").select("node", "ring", "place", "size", "way", "round")
+
+
+def _around(edges: DataFrame, with_path: bool) -> DataFrame:
+    """Closure of nodes whose chains never end: tails by composing, pairs with a cycle's nodes from their places on it."""
+    placed = materialize(rings(edges), "rings")
+    tails = edges.join(placed, F.col("child") == F.col("node"), "left_anti")
+    # The edges of cycle nodes are left out here, so every chain ends where it meets its cycle.
+    proper = materialize(_closure(materialize(tails, "tails"), with_path).drop("in_cycle"), "proper")
+    path = [F.array("node").alias("path")] if with_path else []
+    entered = proper.join(placed.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").unionByName(
+        placed.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("distance"), *path)
+    )
+    start = placed.select(F.col("node").alias("ancestor"), "ring", *[F.col(c).alias(f"_{c}") for c in ("place", "way")])
+    steps, way = F.pmod(F.col("_place") - F.col("place"), F.col("size")), F.pmod(F.col("_way") - F.col("way"), F.col("round"))
+    # A node on a cycle meets itself after a whole round; one below has met its entry already.
+    back = steps == 0
+    met = entered.join(start, "ancestor").join(placed.withColumnRenamed("node", "_met"), "ring").filter(~back | (F.col("depth") == 0))
+    columns = [
+        F.col("node"), F.col("_met").alias("ancestor"), (F.col("depth") + F.when(back, F.col("size")).otherwise(steps)).cast("int").alias("depth"),
+        (F.col("distance") + F.when(back, F.col("round")).otherwise(way)).alias("distance"),
+    ]
+    if with_path:
+        # As long as the longest path asked for: the cycle twice over, in the direction of the parents.
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("place", "node")), asc=False), lambda x: x["node"])
+        once = placed.groupBy("ring").agg(ordered.alias("_ring"))
+        met = met.join(once, "ring")
+        taken = F.when(back, F.col("size")).otherwise(steps).cast("int")
+        twice = F.concat("_ring", "_ring")
+        columns.append(F.concat("path", F.slice(twice, (F.col("size") - F.col("_place") + 1).cast("int"), taken)).alias("path"))
+    return proper.unionByName(met.select(*columns))
+
+
+# -- nearest marked ancestor and descendants ---------------------------------------------------------------------
+
+
+def nearest_marked(edges: DataFrame, marks: DataFrame) -> DataFrame:
+    """(node, mark, depth, distance): the nearest marked ancestor of every node that has one, itself not counted.
+
+    Pointers double until they stand on a mark or their chain ends: about log2 of the longest way to a mark, whatever the
+    depth of the forest. Chains that turn in a cycle without marks are given up when a round ends none of the others.
+    """
+    spark_edges = edges if "length" in edges.columns else edges.withColumn("length", F.lit(1).cast("bigint"))
+    held = materialize(marks.select(F.col(marks.columns[0]).alias("mark")).distinct(), "marks")
+    jumps, seen = measured(spark_edges.join(held, F.col("parent") == F.col("mark"), "left").select(
+        "child", F.col("parent").alias("at"), F.lit(1).alias("depth"), F.col("length").alias("distance"), F.col("mark").isNotNull().alias("done")
+    ), "jumps", going=F.count_if(~F.col("done")))
+    left = seen["going"]
     for _ in range(ROUND_LIMIT):
-        longer = known.unionByName(_extend(known, known))
-        shortest = longer.groupBy("node", "ancestor").agg(best)
-        known, grown = counted(
-            shortest.select("node", "ancestor", *[F.col(f"best.{c}").alias(c) for c in ["depth", *rest]]), "pairs"
+        if not left:
+            break
+        onward = jumps.select(*[F.col(c).alias(f"_{c}") for c in jumps.columns])
+        moved = jumps.filter("not done").join(onward, F.col("at") == F.col("_child")).select(
+            "child", F.col("_at").alias("at"), (F.col("depth") + F.col("_depth")).alias("depth"),
+            (F.col("distance") + F.col("_distance")).alias("distance"), F.col("_done").alias("done"),
         )
-        if grown == size:
-            return known
-        size = grown
-    raise NoConvergence("closure did not settle")
+        jumps, seen = measured(jumps.filter("done").unionByName(moved), "jumps", going=F.count_if(~F.col("done")))
+        if seen["going"] == left:
+            break
+        left = seen["going"]
+    else:
+        raise NoConvergence("ways to the marks did not settle")
+    return jumps.filter("done").select(F.col("child").alias("node"), F.col("at").alias("mark"), "depth", "distance")
 
 
 def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
-    """(start, node, depth) for all nodes below the asked ones; level by level, only from what was just found."""
+    """(start, node, depth) for all nodes below the asked ones.
+
+    Every node finds the nearest asked one above it; asked ones above that one follow from the closure of the asked ones
+    alone. The rounds grow with the logarithm of the depth, and apart from the pointers every row made is a row of the result.
+    """
     edges = _written_edges(edges)
-    below = Rounds(edges.sparkSession, "below")
-    below.add(
-        starts.select(F.col(starts.columns[0]).alias("start")).distinct()
-        .select("start", F.col("start").alias("node"), F.lit(0).alias("depth"))
+    near = materialize(nearest_marked(edges, starts), "near")
+    asked = starts.select(F.col(starts.columns[0]).alias("node")).distinct()
+    between = near.join(asked, "node", "left_semi").select(F.col("node").alias("child"), F.col("mark").alias("parent"), F.col("distance").alias("length"))
+    above = _closure(materialize(between, "between")).filter("not in_cycle").select(
+        F.col("node").alias("mark"), F.col("ancestor").alias("start"), F.col("distance").alias("_further")
     )
-    while True:
-        children = below.last().join(edges, F.col("node") == F.col("parent")).select(
-            "start", F.col("child").alias("node"), (F.col("depth") + 1).alias("depth")
-        )
-        known = below.all().select("start", "node")
-        if not below.add(children.join(known, ["start", "node"], "left_anti")):
-            return below.all().filter(F.col("depth") > 0)
+    direct = near.select(F.col("mark").alias("start"), "node", "depth")
+    further = near.join(above, "mark").select("start", "node", (F.col("distance") + F.col("_further")).cast("int").alias("depth"))
+    # On a cycle the way leads back to the node itself.
+    return direct.unionByName(further).filter("start <> node")
