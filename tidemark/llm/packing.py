@@ -4,9 +4,9 @@ A document of n ids (its tokens, then one end id) is cut into as many whole sequ
 of what is left, largest first. Each piece is a sequence of its own, so no sequence crosses documents and none is
 padded. ``bucket`` is the power; a batch is drawn from one bucket, and has a fixed number of ids whatever the bucket.
 
-Tokens are found once for each distinct word of a chunk of texts: this tokenizer drops white space, lower-cases, and never
-merges across white space or between a letter and a mark, so the ids of a text are those of its parts in order (tests
-compare with whole texts).
+Tokens are found once for each distinct word of a chunk of texts: a tokenizer that drops white space, lower-cases, and never
+merges across white space or between a letter and a mark gives a text the ids of its parts in order (tests
+compare with whole texts). Other tokenizer files work too, see ``tokens``.
 
 A document is worked on where it is read; there is no shuffle, and numbers of sequences are those of the place in
 the input, so that a lost task makes the same ones again. Null and empty texts have the end id alone. Very long texts are
@@ -27,35 +27,47 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
+from tidemark.llm.tokens import CHUNK_BYTES, ByteLevel, Memory, kept, packed_ids, quiet
 
 LENGTH = 2048
 END = 1
-#: Bytes of text whose distinct words are looked up together.
-CHUNK_BYTES = 8 << 20
-#: Words of plain letters whose ids a task's process remembers, about 200 bytes each; ids don't depend on it.
-REMEMBERED = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket int"
 #: Latin letters that the tokenizer's normalizer only lower-cases, and marks that it never joins with a letter before them.
 _LETTERS, _MARKS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
-_TOKENIZERS: dict = {}
 
 
-def _tokenizer(path: str):
-    """The tokenizer; one with its vocabulary and merges only, for words of plain letters; which ids end a word; words known so far."""
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-
-        spec = json.loads(Path(path).read_text())
-        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        plain = spec | {
-            "normalizer": None, "added_tokens": [], "post_processor": None,
-            "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]},
-        }
-        suffix = spec["model"]["end_of_word_suffix"]
-        last = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
-        last[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), Tokenizer.from_str(json.dumps(plain)), last, {})
-    return _TOKENIZERS[path]
+class WordEnds:
+    """A lower-casing tokenizer with ends of words: words of plain letters and runs of marks go straight to its model."""
+
+    def __init__(self, path: str):
+        quiet()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.memory = Tokenizer.from_file(path), Memory()
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._model = self.tokenizer.model
+        self._spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x21, 0x100)) if c.isprintable()})
+
+    def plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain letters, or of marks."""
+        runs, tokenize, spelled = self.memory.all_of(words), self._model.tokenize, self._spelled
+        for k, ids in enumerate(runs):
+            if ids is None:
+                runs[k] = packed_ids([x.id for x in tokenize(words[k].translate(spelled))])
+                self.memory.add(words[k], runs[k])
+        return runs
+
+
+def has_word_ends(path: str) -> bool:
+    """Whether a tokenizer file is of the kind that ``WordEnds`` takes apart: lower case, white space dropped, letters apart from marks."""
+    spec = json.loads(Path(path).read_text())
+    steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = before[0] if before else {}
+    return (
+        "Lowercase" in steps and bool(spec["model"].get("end_of_word_suffix")) and [x.get("type") for x in before] == ["Split", "ByteLevel"]
+        and r"[\p{L}]+" in split.get("pattern", {}).get("Regex", "") and split["pattern"]["Regex"].endswith(r"[^\s\p{L}\p{N}]+")
+    )
 
 
 def _expand(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,29 +81,14 @@ def _expand(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, chosen: np.
 
 def _ids_of(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of distinct words without blanks, as runs of one array: the array, where runs begin, their lengths."""
-    tokenizer, plain, last, known = _tokenizer(path)
+    own = kept(("word ends", path), lambda: WordEnds(path))
     simple = pc.match_substring_regex(words, f"^(?:[{_LETTERS}]+|[{_MARKS}]+)$").to_numpy(zero_copy_only=False)
-    easy = pc.utf8_lower(words.filter(pa.array(simple))).to_pylist()
-    fresh = [word for word in easy if word not in known]
-    now = known
-    if fresh:
-        found = np.asarray(plain.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, np.uint32)
-        stops = (np.flatnonzero(last[found]) + 1) * 4
-        if len(stops) != len(fresh):
-            raise ValueError("a word of plain letters has no end in this vocabulary")
-        if len(known) + len(fresh) > REMEMBERED:
-            now = dict.fromkeys(easy)
-            now.update((word, known[word]) for word in easy if word in known)
-        data, at = found.tobytes(), 0
-        for word, stop in zip(fresh, stops.tolist(), strict=True):
-            now[word] = data[at:stop]
-            at = stop
-    runs = [now[word] for word in easy]
+    runs = own.plain(pc.utf8_lower(words.filter(pa.array(simple))).to_pylist())
     ids = [np.frombuffer(b"".join(runs), np.uint32)]
     sizes = np.zeros(len(words), np.int64)
     sizes[simple] = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
     hard = words.filter(pa.array(~simple)).to_pylist()
-    found = [x.ids for x in tokenizer.encode_batch_fast(hard, add_special_tokens=False)] if hard else []
+    found = [x.ids for x in own.tokenizer.encode_batch_fast(hard, add_special_tokens=False)] if hard else []
     sizes[~simple] = [len(x) for x in found]
     ids.append(np.fromiter((i for x in found for i in x), np.uint32))
     begins = np.zeros(len(words), np.int64)
@@ -111,6 +108,8 @@ def _parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts (no nulls) one after the other, and where each text's begin."""
+    if not kept(("has word ends", path), lambda: has_word_ends(path)):
+        return ByteLevel.of(path).ids(texts)
     words, order, first = _parts(pc.ascii_lower(texts))
     # Marks behind a letter are a token of their own: cutting them off leaves far fewer distinct words.
     cut = pc.replace_substring_regex(words, f"^(.*[{_LETTERS}])([{_MARKS}]+)$", r"\1 \2")

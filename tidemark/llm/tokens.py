@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +29,7 @@ REMEMBERED_BYTES = 64 << 20
 #: Only units of so few characters are remembered.
 SHORT = 48
 _ENTRY_BYTES = 180
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Letters, digits and marks of ASCII; 0 for all else.
@@ -67,12 +70,14 @@ class Memory:
         self._old: dict[str, bytes] = {}
         self._limit, self._bytes = limit // 2, 0
 
-    def get(self, unit: str) -> bytes | None:
-        ids = self._young.get(unit)
-        if ids is None and unit in self._old:
-            ids = self._old[unit]
-            self.add(unit, ids)
-        return ids
+    def all_of(self, units: list[str]) -> list[bytes | None]:
+        """What is known of each unit."""
+        found = list(map(self._young.get, units))
+        for k, ids in enumerate(found):
+            if ids is None and units[k] in self._old:
+                found[k] = self._old[units[k]]
+                self.add(units[k], found[k])
+        return found
 
     def add(self, unit: str, ids: bytes) -> None:
         if len(unit) > SHORT:
@@ -83,6 +88,11 @@ class Memory:
         self._young[unit] = ids
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """As unsigned 32-bit numbers, little-endian."""
+    return array("I", ids).tobytes() if _NATIVE else np.array(ids, "<u4").tobytes()
+
+
 class ByteLevel:
     """A tokenizer file, and the units its ids follow from."""
 
@@ -154,14 +164,14 @@ class ByteLevel:
     def _of_distinct(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct units as runs of one array: the array, where runs begin, their lengths."""
         memory, model, spelled = self.memory, self._model, self._spelled
-        runs = [memory.get(unit) for unit in units]
+        runs = memory.all_of(units)
         rest = []
         for k, run in enumerate(runs):
             if run is not None:
                 continue
             unit = units[k]
             if self.by_units and len(unit) <= SHORT and _PLAIN(unit):
-                runs[k] = np.array([x.id for x in model.tokenize(unit.translate(spelled))], "<u4").tobytes()
+                runs[k] = packed_ids([x.id for x in model.tokenize(unit.translate(spelled))])
                 memory.add(unit, runs[k])
             else:
                 rest.append(k)
@@ -169,7 +179,7 @@ class ByteLevel:
             some = rest[at:at + 4096]
             found = self.tokenizer.encode_batch_fast([units[k] for k in some], add_special_tokens=False)
             for k, one in zip(some, found, strict=True):
-                runs[k] = np.array(one.ids, "<u4").tobytes()
+                runs[k] = packed_ids(one.ids)
                 memory.add(units[k], runs[k])
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         return np.frombuffer(b"".join(runs), "<u4"), np.cumsum(sizes) - sizes, sizes
