@@ -89,3 +89,25 @@ def test_status_is_that_of_propagation(spark, rows):
     status = {r.group_id: r.status for r in A.status_of(counts).collect()}
     assert status == {r.group_id: r.status for r in group_activity(forest, direct_activity(members)).collect()}
     assert {r.group_id: r.below for r in counts.collect()} == {1: 1, 2: 1, 3: 1, 4: 0, 5: 1, 6: 1, 7: 1}
+
+
+def test_a_store_with_counts_syncs_the_same_groups(spark, tmp_path):
+    from datetime import datetime
+
+    from tests.two_days import write_days
+    from tidemark.plans.day import sync_days
+    from tidemark.schemas import COUNTED_TABLES, COUNTS
+    from tidemark.sources.state import StateStore
+
+    write_days(tmp_path / "dumps")
+    groups = []
+    for name, tables in (("plain", {}), ("counted", {"tables": COUNTED_TABLES})):
+        store = StateStore(spark, str(tmp_path / name), buckets=2, **tables)
+        for day in ("day1", "day2"):
+            sync_days(spark, str(tmp_path / "dumps"), [day], store, datetime(2026, 1, 6))
+            groups.append(sorted(map(tuple, store.read("groups").collect()), key=str))
+    assert groups[:2] == groups[2:]
+    # The second day's users 11 and 16 are gone; group 3 moved below group 2.
+    assert {r.group_id: (r.parent_group_id, r.direct, r.below) for r in store.read(COUNTS).collect()} == {
+        1: (None, 3, 9), 2: (1, 0, 2), 3: (2, 2, 2), 4: (1, 2, 2), 5: (1, 2, 2)
+    }

@@ -76,3 +76,46 @@ def test_csv_and_days(spark, rows):
     assert values(rows("v string", ("1,x,3",), (None,)), C.csv_to_array(F.col("v"))) == [[1, None, 3], None]
     df = rows("v string", ("2026-01-05T23:59:59.000-08:00",), ("soon",), (None,))
     assert values(df, C.day_of(F.col("v"))) == [date(2026, 1, 5), None, None]
+
+
+def test_money_is_divided_exactly_and_rounded_once(spark, rows):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from tidemark.operators.fx import convert_currency, exact_quotient
+
+    cases = [
+        ("125.59", "0.79"), ("0.01", "2"), ("0.03", "2"), ("90071992547409.93", "1.000000000000000001"), ("9999999999999999.99", "1"),
+        ("9999999999999999.99", "0.5"), ("1.00", "3"), ("-0.03", "2"), ("1.00", "0"), ("1.00", "-2"), ("0.00", "7"),
+        # The tenth digit behind the half decides; a quotient cut to fewer digits would be rounded up twice.
+        ("1.00", "0.995024875621890548"), ("5000000000000.00", "1.000000000000000100"), ("1.00", "0.000000000000000001"),
+    ]
+    df = rows("k int, a string, u string", *[(k, a, u) for k, (a, u) in enumerate(cases)]).selectExpr(
+        "k", "cast(a as decimal(18,2)) as a", "cast(u as decimal(28,18)) as u"
+    )
+    got = {r.k: r.v for r in df.select("k", exact_quotient(df.a, df.u).alias("v")).collect()}
+    with localcontext() as context:
+        context.prec = 80
+        for k, (a, u) in enumerate(cases):
+            if Decimal(u) <= 0:
+                assert got[k] is None
+                continue
+            want = (Decimal(a) / Decimal(u)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            assert got[k] == (want if abs(want) < Decimal(10) ** 16 else None), (a, u)
+    txns = rows("transaction_date string, currency_code string, a string", ("d", "GBP", "125.59"), ("d", "USD", "3.10"), ("d", "EUR", "1.00"))
+    rates = rows("currency string, rate_date string, rate double, u string", ("GBP", "d", 1 / 0.79, "0.79"))
+    done = convert_currency(
+        txns.selectExpr("transaction_date", "currency_code", "cast(a as decimal(18,2)) as original_amount"),
+        rates.selectExpr("currency", "rate_date", "rate", "cast(u as decimal(28,18)) as units"),
+    )
+    assert {(r.currency_code, r.exchange_rate, str(r.amount_usd)) for r in done.collect()} == {
+        ("GBP", 1 / 0.79, "158.97"), ("USD", 1.0, "3.10"), ("EUR", None, "None")
+    }
+
+
+def test_minor_units_of_many_places(spark, rows):
+    from tidemark.functions.columns import minor_units
+
+    cases = {("100000000000000000", "15"): "100.00", ("5", "13"): "0.00", ("149999999999999999", "19"): "0.01", ("150000000000000000", "19"): "0.02",
+             ("-150000000000000000", "19"): "-0.02", ("999999999999999999", "40"): "0.00", ("12559", "2"): "125.59", ("12", "-2"): "1200.00", ("5", "x"): "None"}
+    df = rows("a string, e string", *cases)
+    assert {(r.a, r.e): str(r.v) for r in df.select("a", "e", minor_units(df.a, df.e).alias("v")).collect()} == cases

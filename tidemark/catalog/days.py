@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.hierarchy import HEAP, HEAP_SQL
-from tidemark.catalog.money import CURRENCY, CURRENCY_SQL, RATES_SQL, rates
+from tidemark.catalog.money import CURRENCY, CURRENCY_SQL, RATES_SQL, exact_sql, rates
 from tidemark.catalog.registry import Tables, query
 from tidemark.operators import quality as Q
 from tidemark.operators.reconcile import delta_detect, merge_upsert
@@ -252,7 +252,7 @@ old AS (SELECT CAST(o_orderkey AS VARCHAR) AS id,
         FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 5000),
 fact AS (SELECT d.*, CASE WHEN code = 'USD' THEN 1 ELSE rate END AS rate,
                 CASE WHEN code = 'USD' THEN d.amount
-                     ELSE CAST(CAST(d.amount AS DOUBLE) * rate AS DECIMAL(18,2)) END AS usd
+                     ELSE CAST({exact_sql("d.amount", "units")} AS DECIMAL(18,2)) END AS usd
          FROM dump d LEFT JOIN old o ON o.id = d.id LEFT JOIN rates ON currency = code AND rate_date = day
          WHERE (o.id IS NULL OR o.amount IS DISTINCT FROM d.amount) AND code <> 'CHF')
 """

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.reconciliation import part_users
 from tidemark.catalog.registry import Tables, query
+from tidemark.operators import activity as A
 from tidemark.operators import hierarchy as H
 from tidemark.operators import links as L
+from tidemark.scratch import materialize
 
 HEAP = "if(o_orderkey > 0, (o_orderkey - 1) div 2, null)"
 HEAP_SQL = "CASE WHEN o_orderkey > 0 THEN (o_orderkey - 1) // 2 END"
@@ -81,3 +83,48 @@ walk AS (SELECT child AS start, parent AS node FROM edges WHERE parent IS NOT NU
 SELECT DISTINCT start AS node FROM walk WHERE start = node""")
 def hierarchy_cycles(t: Tables) -> DataFrame:
     return H.find_cycles(edges(t, LOOPED))
+
+
+@query(f"""WITH RECURSIVE edges AS (SELECT o_orderkey AS child, {LOOPED_SQL} AS parent FROM orders),
+up AS (SELECT child AS node, parent AS ancestor, 1 AS depth FROM edges WHERE parent IS NOT NULL
+       UNION
+       SELECT u.node, e.parent, u.depth + 1 FROM up u JOIN edges e ON e.child = u.ancestor
+       WHERE e.parent IS NOT NULL AND u.depth < 40)
+SELECT node, ancestor, min(depth) AS depth, node = ancestor AS in_cycle FROM up GROUP BY node, ancestor""")
+def hierarchy_cyclic_closure(t: Tables) -> DataFrame:
+    """Ancestors in a graph with cycles: chains that lead into one meet each of its nodes once."""
+    return H.closure(edges(t, LOOPED)).select("node", "ancestor", "depth", "in_cycle")
+
+
+def _counts_sql(parent: str, lines: str) -> str:
+    return f"""WITH RECURSIVE edges AS (SELECT o_orderkey AS child, {parent} AS parent FROM orders),
+live AS (SELECT l_orderkey AS node, count(DISTINCT l_partkey) AS n FROM lineitem JOIN part ON p_partkey = l_partkey
+         WHERE p_size = 50 AND {lines} GROUP BY l_orderkey),
+up AS (SELECT node, node AS ancestor, n FROM live
+       UNION ALL SELECT u.node, e.parent, u.n FROM up u JOIN edges e ON e.child = u.ancestor WHERE e.parent IS NOT NULL),
+sums AS (SELECT ancestor, sum(n) AS below FROM up GROUP BY ancestor)
+SELECT child AS group_id, parent AS parent_group_id, CAST(coalesce(n, 0) AS BIGINT) AS direct, CAST(coalesce(below, 0) AS BIGINT) AS below
+FROM edges LEFT JOIN live ON node = child LEFT JOIN sums ON ancestor = child"""
+
+
+def order_members(t: Tables, lines: str) -> DataFrame:
+    members = t.lineitem.filter(lines).select(F.col("l_orderkey").alias("group_id"), F.col("l_partkey").alias("user_id"))
+    return A.direct_counts(L.member_status(members, part_users(t)))
+
+
+@query(_counts_sql(HEAP_SQL, "true"))
+def activity_counts(t: Tables) -> DataFrame:
+    """Active members of every group and of all below it together."""
+    return A.count_activity(forest(t), order_members(t, "true"))
+
+
+# On the second day pending orders stand two levels higher, and returned lines are no members any more.
+MOVED = f"if(o_orderstatus = 'P', if(o_orderkey > 3, (o_orderkey - 1) div 4, null), {HEAP})"
+MOVED_SQL = f"CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey > 3 THEN (o_orderkey - 1) // 4 END ELSE {HEAP_SQL} END"
+
+
+@query(_counts_sql(MOVED_SQL, "l_returnflag <> 'R'"))
+def activity_counts_update(t: Tables) -> DataFrame:
+    """The counts after a second day, from those of the first: only ancestors of what changed are counted anew."""
+    stored = materialize(A.count_activity(forest(t), order_members(t, "true")), "counts")
+    return A.update_activity(stored, forest(t, MOVED), order_members(t, "l_returnflag <> 'R'"))[0]

@@ -25,11 +25,18 @@ quotes AS (
     SELECT rate_date, 'GBP', CAST(0.7913 AS DOUBLE) + day(rate_date) / CAST(1000 AS DOUBLE) FROM days
     UNION ALL
     SELECT rate_date, 'INR', CAST(83.17 AS DOUBLE) + day(rate_date) / CAST(10 AS DOUBLE) FROM days),
-rates AS (SELECT currency, rate_date, CAST(1 AS DOUBLE) / units AS rate FROM quotes
-          UNION ALL SELECT 'USD', rate_date, CAST(1 AS DOUBLE) FROM days)
+rates AS (SELECT currency, rate_date, CAST(1 AS DOUBLE) / units AS rate, CAST(CAST(units AS VARCHAR) AS DECIMAL(28,18)) AS units FROM quotes
+          UNION ALL SELECT 'USD', rate_date, CAST(1 AS DOUBLE), CAST(1 AS DECIMAL(28,18)) FROM days)
 """
 
 
+def exact_sql(amount: str, units: str) -> str:
+    """Money over units in whole numbers, rounded half up once; for amounts that aren't negative."""
+    one = "CAST(1000000000000000000 AS HUGEINT)"
+    scaled = f"(CAST(floor({units}) AS HUGEINT) * {one} + CAST(({units} - floor({units})) * 1000000000000000000 AS HUGEINT))"
+    return f"CAST((2 * CAST({amount} * 100 AS HUGEINT) * {one} + {scaled}) // (2 * {scaled}) AS DECIMAL(34,0)) * CAST(0.01 AS DECIMAL(3,2))"
+
+
 def rates(t: Tables) -> DataFrame:
     """Rates out of JSON documents, one per day on which there was an order."""
     days = t.orders.select(F.to_date("o_orderdate").alias("date")).distinct()
@@ -56,7 +63,27 @@ def transactions(t: Tables) -> DataFrame:
 
 @query(f"WITH {RATES_SQL} SELECT currency, rate_date, rate FROM rates")
 def fx_rates_from_map(t: Tables) -> DataFrame:
-    return rates(t)
+    return rates(t).select("currency", "rate_date", "rate")
+
+
+@query(f"WITH {RATES_SQL} SELECT currency, rate_date, CAST(units AS VARCHAR) AS units FROM rates")
+def fx_rates_decimal(t: Tables) -> DataFrame:
+    """The quotes as exact decimals, digit for digit as the documents have them."""
+    return rates(t).select("currency", "rate_date", F.col("units").cast("string").alias("units"))
+
+
+@query(f"""WITH {RATES_SQL},
+txns AS (SELECT o_orderkey AS transaction_id, CAST(o_orderdate AS DATE) AS transaction_date, {CURRENCY_SQL} AS currency_code,
+                CAST(o_totalprice AS DECIMAL(18,2)) + CAST(o_orderkey % 70 AS DECIMAL(4,0)) * CAST(100000000000000 AS DECIMAL(18,2)) AS original_amount FROM orders)
+SELECT transaction_id, CAST(original_amount AS VARCHAR) AS original_amount,
+       CAST(CASE WHEN currency_code = 'USD' THEN original_amount ELSE CAST({exact_sql("original_amount", "units")} AS DECIMAL(18,2)) END AS VARCHAR) AS amount_usd
+FROM txns LEFT JOIN rates ON currency = currency_code AND rate_date = transaction_date""")
+def fx_convert_large(t: Tables) -> DataFrame:
+    """Amounts of up to 7 * 10**15, whose cents no double can tell apart, converted to the last cent."""
+    large = F.col("original_amount") + (F.col("transaction_id") % 70).cast("decimal(4,0)") * F.lit(100000000000000).cast(MONEY)
+    amounts = transactions(t).drop("card_id").withColumn("original_amount", large.cast(MONEY))
+    found = fx.convert_currency(amounts, rates(t))
+    return found.select("transaction_id", F.col("original_amount").cast("string").alias("original_amount"), F.col("amount_usd").cast("string").alias("amount_usd"))
 
 
 @query(f"""SELECT DISTINCT {CURRENCY_SQL} AS currency, CAST(o_orderdate AS DATE) AS rate_date FROM orders""")
@@ -64,24 +91,24 @@ def fx_pairs_needed(t: Tables) -> DataFrame:
     return fx.pairs_needed(transactions(t))
 
 
-def converted_sql(on_missing: str) -> str:
+def converted_sql(on_missing: str, missing: str) -> str:
     return f"""WITH {RATES_SQL},
 txns AS (SELECT o_orderkey AS transaction_id, CAST(o_orderdate AS DATE) AS transaction_date,
                 CAST(o_totalprice AS DECIMAL(18,2)) AS original_amount, {CURRENCY_SQL} AS currency_code FROM orders)
 SELECT transaction_id, transaction_date, original_amount, currency_code,
        CASE WHEN currency_code = 'USD' THEN 1 ELSE {on_missing} END AS exchange_rate,
        CASE WHEN currency_code = 'USD' THEN original_amount
-            ELSE CAST(CAST(original_amount AS DOUBLE) * {on_missing} AS DECIMAL(18,2)) END AS amount_usd
+            WHEN rate IS NULL THEN {missing} ELSE CAST({exact_sql("original_amount", "units")} AS DECIMAL(18,2)) END AS amount_usd
 FROM txns LEFT JOIN rates ON currency = currency_code AND rate_date = transaction_date"""
 
 
-@query(converted_sql("rate"))
+@query(converted_sql("rate", "NULL"))
 def fx_convert(t: Tables) -> DataFrame:
     """A pair without a rate has neither rate nor dollars."""
     return fx.convert_currency(transactions(t).drop("card_id"), rates(t))
 
 
-@query(converted_sql("coalesce(rate, CAST(1 AS DOUBLE))"))
+@query(converted_sql("coalesce(rate, CAST(1 AS DOUBLE))", "original_amount"))
 def fx_convert_missing_as_one(t: Tables) -> DataFrame:
     return fx.convert_currency(transactions(t).drop("card_id"), rates(t), on_missing="one")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +129,20 @@ def member_ids_by_row(df: DataFrame) -> tuple[Column, Column]:
     return empty_if_null(found), broken
 
 
+WHOLE = T.DecimalType(38, 0)
+
+
+def rounded_quotient(part: Column, whole: Column) -> Column:
+    """Two whole numbers (decimals without places, not negative) divided and rounded once, half up; null for a zero divisor.
+
+    Half a divisor is added and the remainder cut off first, so the division has no rest. Decimal division alone would round twice: to the
+    digits of its own result, then to the wanted ones.
+    """
+    doubled = (whole * 2).cast(WHOLE)
+    raised = (part.cast(WHOLE) * 2).cast(WHOLE) + whole
+    return F.when(whole > 0, F.try_divide(raised - raised % doubled, doubled).try_cast(T.DecimalType(20, 0)))
+
+
 def minor_units(amount: Column, exponent: Column) -> Column:
     """Money from minor units: ``12559`` with exponent 2 is 125.59; no number, too large or an
     exponent that is there but can't be read gives null.
@@ -135,7 +151,12 @@ def minor_units(amount: Column, exponent: Column) -> Column:
     """
     digits = F.when(exponent.isNotNull(), safe_id(exponent).try_cast("int")).otherwise(0)
     factor = F.pow(F.lit(10.0), -digits).try_cast(T.DecimalType(18, 12))
-    return F.try_multiply(safe_decimal(amount, T.DecimalType(24, 6)), factor).try_cast(MONEY)
+    value = safe_decimal(amount, T.DecimalType(24, 6))
+    # More places than the factor has: whole millionths of cents over a power of ten. Beyond 24 places nothing is left of a cent.
+    power = F.pow(F.lit(10.0), F.least(digits, F.lit(24)) + 6).cast(WHOLE)
+    small = (rounded_quotient((F.abs(value) * 100_000_000).cast(WHOLE), power) * F.lit(Decimal("0.01"))).try_cast(MONEY)
+    small = F.when(value < 0, -small).otherwise(small)
+    return F.when(digits > 12, small).otherwise(F.try_multiply(value, factor).try_cast(MONEY))
 
 
 def day_of(timestamp_text: Column) -> Column:

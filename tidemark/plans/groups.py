@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.columns import member_ids_by_row, optional_col, safe_id, safe_timestamp
 from tidemark.operators import links as L
 from tidemark.operators import quality as Q
+from tidemark.operators.activity import direct_counts, status_of, update_activity
 from tidemark.operators.hierarchy import group_activity
 from tidemark.operators.reconcile import dedup_latest, reconcile_snapshot, replace_children
 from tidemark.plans.inputs import metrics, mistyped_files, stage
-from tidemark.schemas import CORRUPT, RAW, unreadable
+from tidemark.schemas import CORRUPT, COUNTS, RAW, unreadable
 from tidemark.scratch import materialize
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
@@ -23,6 +24,7 @@ class GroupSync:
     groups: DataFrame
     members: DataFrame
     group_members: DataFrame
+    counts: DataFrame | None = None
 
 
 def clean_groups(raw: DataFrame) -> DataFrame:
@@ -61,11 +63,13 @@ def build_groups(
     stored_members: DataFrame,
     include_stored: bool = False,
     clear_empty_parents: bool = True,
-    method: str = "auto",
+    method: str = "doubling",
+    stored_counts: DataFrame | None = None,
 ) -> GroupSync:
     """The day's groups with their status, and all memberships, from valid groups and what is stored.
 
-    With ``include_stored`` activity also travels through stored groups that the day's dump lacks.
+    With ``include_stored`` activity also travels through stored groups that the day's dump lacks. With ``stored_counts``, the
+    activity counts of the last day, only what stands above a change is counted anew; else activity is spread over the whole forest.
     """
     # Both feed several outputs and the activity loop; written once, they are shuffled once.
     unique = materialize(
@@ -76,7 +80,13 @@ def build_groups(
     if include_stored:
         gone = stored_groups.join(unique.select("group_id"), "group_id", "left_anti")
         forest = forest.unionByName(gone.select("group_id", "parent_group_id"))
-    status = group_activity(forest, L.direct_activity(members), method).withColumnRenamed("status", "derived")
+    counts = None
+    if stored_counts is None:
+        status = group_activity(forest, L.direct_activity(members), method)
+    else:
+        counts = materialize(update_activity(stored_counts, materialize(forest, "forest"), direct_counts(members))[0], "counts")
+        status = status_of(counts)
+    status = status.withColumnRenamed("status", "derived")
     # Written, the snapshot has no layout of its own, so the merge adopts the buckets of what is stored.
     fresh = materialize(unique.drop("user_ids").join(status, "group_id", "left"), "groups")
     groups = reconcile_snapshot(
@@ -92,11 +102,15 @@ def build_groups(
         groups,
         members,
         replace_children(stored_members, members, "group_id", unique if clear_empty_parents else None),
+        counts,
     )
 
 
 def run(spark, root: str, day: str, store: StateStore, **options) -> int:
-    """Sync one day's groups; needs the day's users to be committed, for the members' status."""
+    """Sync one day's groups; needs the day's users to be committed, for the members' status.
+
+    A store made with ``COUNTED_TABLES`` keeps activity counts, and then only what stands above a change is counted anew.
+    """
     raw = read_entity(spark, root, day, "admin_groups", RAW["admin_groups"])
     checked = stage(clean_groups(raw), "groups")
     faults = union_fill([Q.quarantine_record(checked.bad, "groups"), mistyped_files(checked.tagged, "groups")])
@@ -104,10 +118,12 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     store.record("metrics", day, "groups", metrics(spark, checked))
     if not checked.rows_in:
         return store.version
+    if COUNTS in store.tables:
+        options["stored_counts"] = store.read(COUNTS)
     sync = build_groups(
         checked.good, store.read("users"), store.read("groups"), store.read("group_members"), **options
     )
-    return store.commit(
-        {"groups": sync.groups, "group_members": sync.group_members},
-        laid_out={"groups"} if store.aligned("groups") else set(),
-    )
+    frames = {"groups": sync.groups, "group_members": sync.group_members}
+    if sync.counts is not None:
+        frames[COUNTS] = sync.counts
+    return store.commit(frames, laid_out={"groups"} if store.aligned("groups") else set())

@@ -52,7 +52,8 @@ RAW = {
         id=TEXT, transactionType=TEXT, transactionDate=TEXT, occurredTime=TEXT, updatedTime=TEXT,
         merchantName=TEXT, currencyData=CURRENCY_DATA, cardId=TEXT, budgetId=TEXT,
     ),
-    "rates": _struct(date=TEXT, usd=T.MapType(TEXT, DOUBLE)),
+    # Quotes as text, so that their digits reach the conversion.
+    "rates": _struct(date=TEXT, usd=T.MapType(TEXT, TEXT)),
 }
 
 
@@ -131,6 +132,14 @@ TABLES = {
 }
 
 
+COUNTS = "group_activity"
+#: The tables of a store that also keeps activity counts from day to day.
+COUNTED_TABLES = {
+    **TABLES,
+    COUNTS: TableSpec(_struct(group_id=LONG, parent_group_id=LONG, direct=LONG, below=LONG), ("group_id",)),
+}
+
+
 def empty(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.currencies import CURRENCY_CODES
+from tidemark.functions.columns import safe_decimal
+from tidemark.operators.fx import UNITS
 from tidemark.operators.quality import is_listed
 
-RATE_MAP = "map<string,double>"
+# Quotes are kept as the text that the document has.
+RATE_MAP = "map<string,string>"
 
 
 def parse_rate_map(body: Column) -> Column:
@@ -18,9 +21,10 @@ def parse_rate_map(body: Column) -> Column:
 def rates_from_documents(
     documents: DataFrame, date_col: str = "date", map_col: str = "usd", codes: list[str] = CURRENCY_CODES
 ) -> DataFrame:
-    """(currency, rate_date, rate) with dollars per unit, one row per currency and day.
+    """(currency, rate_date, rate, units), one row per currency and day: dollars per unit as a double, and the quoted
+    units per dollar as an exact decimal.
 
-    Absent and zero quotes are skipped, only listed codes are kept, and the dollar itself is 1 on every day a
+    Absent, zero, negative and unreadable quotes are skipped, only listed codes are kept, and the dollar itself is 1 on every day a
     document was looked for, also when the document is empty. Its size is bounded by codes times days.
     """
     dated = documents.select(
@@ -37,22 +41,23 @@ def rates_from_documents(
                         F.transform(
                             F.map_entries("quotes"),
                             lambda e: F.struct(
-                                F.upper(e["key"]).alias("currency"), e["value"].cast("double").alias("units")
+                                F.upper(e["key"]).alias("currency"), e["value"].cast("string").alias("quoted")
                             ),
                         ),
-                        F.array().cast("array<struct<currency:string,units:double>>"),
+                        F.array().cast("array<struct<currency:string,quoted:string>>"),
                     ),
-                    F.struct(F.lit("USD").alias("currency"), F.lit(1.0).alias("units")),
+                    F.struct(F.lit("USD").alias("currency"), F.lit("1").alias("quoted")),
                 )
             ).alias("q"),
         )
-        .select("rate_date", "q.currency", "q.units")
-        .filter(is_listed("currency", codes) & F.col("units").isNotNull() & (F.col("units") != 0))
+        .select("rate_date", "q.currency", safe_decimal(F.col("q.quoted"), UNITS).alias("units"), F.col("q.quoted").alias("quoted"))
+        .filter(is_listed("currency", codes) & (F.col("units") > 0))
     )
-    rate = F.when(F.col("currency") == "USD", F.lit(1.0)).otherwise(F.lit(1.0) / F.col("units"))
-    # Two documents for one day: the larger quote wins, whatever order the files are read in.
+    dollar = F.col("currency") == "USD"
+    rate = F.when(dollar, F.lit(1.0)).otherwise(F.lit(1.0) / F.col("double"))
+    # Two documents for one day: the larger quote wins, whatever order the files are read in. The double is that of the text.
     return (
         quoted.groupBy("currency", "rate_date")
-        .agg(F.max("units").alias("units"))
-        .select("currency", "rate_date", rate.alias("rate"))
+        .agg(F.max("units").alias("units"), F.max(F.col("quoted").try_cast("double")).alias("double"))
+        .select("currency", "rate_date", rate.alias("rate"), F.when(dollar, F.lit(1).cast(UNITS)).otherwise(F.col("units")).alias("units"))
     )
