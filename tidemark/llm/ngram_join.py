@@ -2,12 +2,14 @@
 
 Two texts link when the Jaccard similarity of their n-gram sets is at least the threshold. How the links are found:
 
-1. One pass counts all n-grams in a fixed table of hashed counters, and gives every text the size and the fingerprint of
-   its set, and a bitmap whose bits are the parities of its hashed n-grams. Equal sets are one node from here on.
-2. A second pass writes down, per node, the n-grams that a linked partner must share one of: with n-grams in a global
-   order, two sets that overlap enough share one among the first quarter of the larger (for 0.75) and the first seventh
-   of the smaller. The order is by the counters (rare first), then by hash, so that passages which very many texts
-   share hardly ever come up. The order only steers the work; the result doesn't depend on the counts.
+1. One pass gives every text the size and the fingerprint of its set, and a bitmap whose bits are the parities of its hashed
+   n-grams. Equal sets are one node from here on. Hashed counters of a fixed size tell which n-grams may be very common; these are
+   written under several salts, so that no task gets all rows of one.
+2. A second pass writes down, per node, as many n-grams as a set may lack in a link, and a quarter of the set more: the first ones in
+   an order (rarer by the counters, then by hash). Two linked sets have as many of these in common as the smaller one's quarter. A shuffle
+   counts which nodes share each, and a node with too few shared ones is out, whatever passages it has in common with others.
+   Of the shared ones, in order of their exact count (rare first, salted ones last), two linked sets have one in common among the
+   first few of each. Those are kept. The result doesn't depend on the orders.
 3. Nodes that meet in an n-gram form tiles by size band: a partner's size lies in the same band or the next.
    Within a tile every member is compared with one leader first. Members that are then connected need no
    further comparison among themselves, so a group of n near copies costs about n comparisons, not n squared. Rounds
@@ -48,7 +50,8 @@ from tidemark.scratch import counted, materialize
 WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Counters that steer the order of n-grams: 8 MB on the driver, 1 MB (one byte each) in each task.
+#: Counters that tell which n-grams are salted: 8 MB on the driver, 1 MB (one byte each) in each task. No n-gram occurs more
+#: often than its counter says, so what is not salted has at most twice the counters' mean and ``SALT_EVERY`` rows.
 COUNTERS = 1 << 20
 #: An n-gram whose counter passes this is written under several salts, one for each so many.
 SALT_EVERY = 1 << 14
@@ -70,7 +73,12 @@ _SETS = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), *sketch.SCHEMA,
 ])
 SIGNS = [f"s{k}" for k in range(SIGNATURE // 64)]
-_POSTS = pa.schema([("gram", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int32())])
+#: Columns of small numbers stand together: rows are then compressed better in a shuffle.
+_POSTS = pa.schema([("salt", pa.int32()), ("gram", pa.int64()), ("node", pa.int64())])
+#: This share of a set's n-grams is written down beside those that it may lack: one in so many.
+MORE = 4
+#: Stands for the count of a salted n-gram.
+COMMON = 1 << 40
 
 
 def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,41 +158,36 @@ def _sets_of(width: int, extra: list[str]):
 
 
 def _posts_of(width: int, percent: int, levels, total: int):
-    """``levels``: broadcast logarithms of the counters."""
+    """The n-grams to test of every node, once a task. ``levels``: broadcast logarithms of the counters; ``total``: their mean."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
+        most = 1 << np.maximum(level.astype(np.int64) - 1, 0)
+        salted = 1 + np.maximum(most - total, 0) // SALT_EVERY
         for batch in batches:
             for _, texts in W.chunks(batch, "text"):
                 values, first = W.sorted_sets(*_shingles(texts, width))
-                # Rare first: the level in the top five bits, the hash below it.
-                ranks = (level[(values >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(59)) | (values >> np.uint64(5))
                 out = []
                 for i in range(len(texts)):
-                    n = int(first[i + 1] - first[i])
-                    if not n:
-                        continue
                     own = values[first[i]:first[i + 1]]
+                    if not len(own):
+                        continue
                     node = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
                     if node in seen:
                         continue
                     seen.add(node)
-                    long = n - -(-percent * n // 100) + 1
-                    rank = ranks[first[i]:first[i + 1]]
-                    chosen = np.argpartition(rank, long - 1)[:long] if long < n else np.arange(n)
-                    chosen = chosen[np.argsort(rank[chosen])]
-                    grams = own[chosen]
-                    est = 1 << np.maximum(level[(grams >> np.uint64(44)).astype(np.int64)].astype(np.int64) - 1, 0)
-                    salts = np.where(est > total + SALT_EVERY, 1 + node % (1 + np.maximum(est - total, 0) // SALT_EVERY), 0)
-                    out.append((W.signed(grams), salts.astype(np.int32), node, n))
+                    tested = len(own) - -(-percent * len(own) // 100) + max(len(own) // MORE, 1)
+                    if tested < len(own):
+                        # The level in the top five bits, the hash below it.
+                        rank = (level[(own >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(59)) | (own >> np.uint64(5))
+                        own = own[np.argpartition(rank, tested - 1)[:tested]]
+                    out.append((own, node))
                 if out:
-                    sizes = np.array([len(x[0]) for x in out])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out])),
-                        pa.array(np.repeat(np.array([x[2] for x in out], np.int64), sizes)),
-                        pa.array(np.repeat(np.array([x[3] for x in out], np.int64), sizes)),
-                        pa.array(np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])),
-                    ], schema=_POSTS)
+                    grams = np.concatenate([own for own, _ in out])
+                    nodes = np.repeat(np.array([node for _, node in out], np.int64), [len(own) for own, _ in out])
+                    spread = salted[(grams >> np.uint64(44)).astype(np.int64)]
+                    salts = np.where(spread > 1, 1 + nodes % spread, 0).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(salts), pa.array(W.signed(grams)), pa.array(nodes)], schema=_POSTS)
 
     return job
 
@@ -247,33 +250,46 @@ class NgramJoin:
         self._bits = both.filter("node is not null").select("node", "bits", F.col("n_shingles").alias("n"))
         self._counts = sketch.total(both.filter("piece is not null"), COUNTERS)
 
-    def _needed(self, n: str, m: str) -> str:
-        """SQL: n-grams that sets of sizes ``n`` and ``m`` must share to link."""
-        return f"(({self.percent} * ({n} + {m}) + 99 + {self.percent}) div (100 + {self.percent}))"
+    def _common(self, n: str) -> str:
+        """SQL: tested n-grams that a set of ``n`` has in common with any larger one that it links with."""
+        return f"greatest({n} div {MORE}, 1)"
 
     def _met(self) -> DataFrame:
-        """Where nodes meet: of all n-grams written down, those that two nodes or more have in common."""
+        """Where nodes meet: n-grams of the nodes that share enough of theirs to link, among the first few of two nodes or more."""
         levels = np.zeros(COUNTERS, np.uint8)
         some = self._counts > 0
         levels[some] = np.floor(np.log2(self._counts[some])).astype(np.uint8) + 1
         held = self.spark.sparkContext.broadcast(levels)
         posts = self.docs.select("text").mapInArrow(
-            _posts_of(self.width, self.percent, held, int(self._counts.mean())),
-            "gram long, salt int, node long, n long, pos int",
+            _posts_of(self.width, self.percent, held, int(self._counts.mean())), "salt int, gram long, node long"
+        )
+        # Rows of a node from several tasks follow each other here; one goes on.
+        here = "over (partition by gram, salt)"
+        shared = posts.selectExpr(
+            "*", "lag(node) over (partition by gram, salt order by node) as before",
+            f"min(node) {here} as low", f"max(node) {here} as high", f"count(*) {here} as nodes",
+        ).filter("(salt > 0 or low < high) and (before is null or before < node)").selectExpr(
+            "salt", f"if(salt > 0, {COMMON}L, nodes) as common", "gram", "node"
         )
+        sizes = self._bits.groupBy("node").agg(F.min("n").alias("n"))
+        # The smallest partner has percent of the nodes' n-grams and needs its own share of tested ones in common.
+        placed = shared.join(sizes, "node").selectExpr(
+            "salt", "gram", "node", "n", "count(*) over (partition by node) as shared",
+            "row_number() over (partition by node order by common, gram) - 1 as pos",
+        ).selectExpr("salt", "pos", "shared - pos as rest", "n", "gram", "node").filter(f"rest >= {self._common(f'({self.percent} * n div 100)')}")
         # An n-gram that two nodes wrote down gives its pair here. One of three or more keeps its members, and each with the
         # least as a first leader. A salted n-gram is held to be one of those, since its rows are not all in one place.
         # Only nodes that could link with the next smaller or, from within their short prefix, the next larger one count.
-        sized = posts.selectExpr(
+        sized = placed.selectExpr(
             "*", "lag(n) over (partition by gram, salt order by n) as below", "lead(n) over (partition by gram, salt order by n) as above"
-        ).filter(f"salt > 0 or 100 * below >= {self.percent} * n or pos <= n - {self._needed('n', 'n')} and 100 * n >= {self.percent} * above")
+        ).filter(f"salt > 0 or 100 * below >= {self.percent} * n or rest >= {self._common('n')} and 100 * n >= {self.percent} * above")
         ends = sized.selectExpr(
-            "gram", "salt", "node", "n", "pos",
+            "gram", "salt", "node", "n", "pos", "rest",
             "min(node) over (partition by gram, salt) as low", "max(node) over (partition by gram, salt) as high",
         ).filter("salt > 0 or low < high")
         shared = ends.selectExpr("*", "max(node > low and node < high or salt > 0) over (partition by gram, salt) as many")
         kept = shared.filter("many or node = high").selectExpr(
-            "if(many, gram, null) as gram", "node", "n", "pos", "low as leader", "many"
+            "if(many, gram, null) as gram", "node", "n", "pos", "rest", "low as leader", "many"
         )
         return materialize(kept, "met")
 
@@ -286,7 +302,7 @@ class NgramJoin:
         pairs = met.filter("node <> leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         found = self._verified(pairs)
         band = F.floor(F.log("n") / F.lit(math.log(100 / self.percent))).alias("band")
-        live, rows = counted(met.filter("many").select("gram", "node", "n", "pos", band).distinct(), "live")
+        live, rows = counted(met.filter("many").select("gram", "node", "n", "pos", "rest", band).distinct(), "live")
         before = math.inf
         for turn in itertools.count():
             if not rows:
@@ -325,11 +341,11 @@ class NgramJoin:
         """All pairs of different components that meet in a gram: one side lies outside the gram's main component.
 
         The first n-gram that both wrote down always gives the pair: nothing before it is common, so what either has from
-        there on must hold the needed overlap. Of two sides outside the main component the lesser node comes first.
+        there on must hold the tested n-grams that they need in common. Of two sides outside the main component the lesser node comes first.
         """
         # A node has no more rows than its text has n-grams.
         ahead = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
-        sides = ["node", "n", "pos", "comp", "band", "earlier", *SIGNS]
+        sides = ["node", "n", "pos", "rest", "comp", "band", "earlier", *SIGNS]
         placed = materialize(
             placed.select("*", F.collect_list("gram").over(ahead).alias("earlier")).select("gram", "main_comp", *sides), "signed"
         )
@@ -337,7 +353,7 @@ class NgramJoin:
         other = placed.select("gram", F.expr("comp = main_comp").alias("inner_2"), *[F.col(x).alias(f"{x}_2") for x in sides])
         met = one.join(other, "gram").filter(
             f"comp <> comp_2 and (inner_2 or node < node_2) and abs(band - band_2) <= 1 and 100 * least(n, n_2) >= {self.percent} * greatest(n, n_2)"
-            f" and least(n - pos, n_2 - pos_2) >= {self._needed('n', 'n_2')}"
+            f" and least(rest, rest_2) >= {self._common('least(n, n_2)')}"
             f" and {_bound('n', 'n_2', '', '_2', self.percent)} and not arrays_overlap(earlier, earlier_2)"
         )
         return met.select(F.greatest("node", "node_2").alias("a"), F.least("node", "node_2").alias("b"))
