@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -102,3 +103,37 @@ def reason_counts(tagged: DataFrame) -> DataFrame:
 
 def status_summary(df: DataFrame, status: str = "status") -> DataFrame:
     return df.groupBy(status).agg(F.count("*").alias("rows"))
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A column of one table whose values should be keys of another."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.child}.{self.column} -> {self.parent}.{self.key}"
+
+
+def check_references(frames: Mapping[str, DataFrame], references: Sequence[Reference]) -> DataFrame:
+    """Per reference: rows, rows without a value, rows that point at nothing, and how many keys those have.
+
+    All references are tested in one aggregation over tagged keys. It combines before the shuffle, so a key that very many rows point
+    at is a few rows there; nothing is joined.
+    """
+    tagged = []
+    for reference in references:
+        tag = F.lit(reference.name).alias("reference")
+        pointing = frames[reference.child].select(tag, F.col(reference.column).cast("string").alias("_key"), F.lit(1).alias("_rows"), F.lit(0).alias("_known"))
+        known = frames[reference.parent].select(tag, F.col(reference.key).cast("string").alias("_key"), F.lit(0).alias("_rows"), F.lit(1).alias("_known"))
+        tagged += [pointing, known.filter(F.col("_key").isNotNull())]
+    keyed = reduce(DataFrame.unionByName, tagged).groupBy("reference", "_key").agg(F.sum("_rows").alias("n"), F.max("_known").alias("known"))
+    lost = F.col("_key").isNotNull() & (F.col("known") == 0) & (F.col("n") > 0)
+    return keyed.groupBy("reference").agg(
+        F.sum("n").alias("row_count"), F.sum(F.when(F.col("_key").isNull(), F.col("n")).otherwise(0)).alias("null_rows"),
+        F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphan_rows"), F.count_if(lost).alias("orphan_keys"),
+    )

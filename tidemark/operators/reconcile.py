@@ -114,6 +114,36 @@ def delta_detect(
     )
 
 
+#: What an incoming row is to the stored one, see ``classify_delta``.
+OUTCOME, NEW, CHANGED, NEWER, SAME, LATE = "outcome", "new", "changed", "newer", "same", "late"
+
+
+def classify_delta(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], compare_cols: Sequence[str], moment: str | None = None
+) -> DataFrame:
+    """Every incoming row with its ``outcome``, from one join with the stored keys.
+
+    ``late``: the stored row is from a later ``moment``, so this one must not overwrite it, whatever order files arrive in.
+    ``changed``: differs in one of ``compare_cols`` (null-safe). ``newer``: equal there, but from a later moment, which has to be
+    remembered, else a row from between would pass for the latest. ``same``: nothing to do. Rows without a moment are never late.
+    """
+    known = stored.select(*keys, *compare_cols, *([moment] if moment else []))
+    differs = F.lit(False)
+    for name in compare_cols:
+        kind = stored.schema[name].dataType
+        differs = differs | ~F.col(f"new.{name}").cast(kind).eqNullSafe(F.col(f"old.{name}"))
+    outcome = F.when(F.col(_IN_OLD).isNull(), F.lit(NEW))
+    if moment:
+        outcome = outcome.when(F.col(f"new.{moment}") < F.col(f"old.{moment}"), F.lit(LATE))
+    outcome = outcome.when(differs, F.lit(CHANGED))
+    if moment:
+        later = F.col(f"new.{moment}").isNotNull() & (F.col(f"old.{moment}").isNull() | (F.col(f"new.{moment}") > F.col(f"old.{moment}")))
+        outcome = outcome.when(later, F.lit(NEWER))
+    return _paired(incoming, known, keys, "left").select(
+        *[F.col(f"new.{c}") for c in incoming.columns], outcome.otherwise(F.lit(SAME)).alias(OUTCOME)
+    )
+
+
 def left_enrich(index: DataFrame, details: DataFrame, key: str, newest: Sequence[str] = ()) -> DataFrame:
     """Index rows with the details record of the same key as struct ``det``, null where there is none."""
     unique = dedup_latest(details, [key], newest)

@@ -6,14 +6,21 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from tidemark.plans import groups, transactions, users
+from tidemark.plans.report import report
 from tidemark.sources.state import StateStore
 
 
-def sync_day(spark, root: str, day: str, store: StateStore, sync_time: datetime) -> int:
-    """Users, then groups (they need the users' status), then transactions; returns the last version."""
+def sync_day(spark, root: str, day: str, store: StateStore, sync_time: datetime, with_report: bool = True) -> int:
+    """Users, then groups (they need the users' status), then transactions; returns the last version.
+
+    The day's report (integrity, circles, statuses) is recorded after the last commit.
+    """
     users.run(spark, root, day, store)
     groups.run(spark, root, day, store)
-    return transactions.run(spark, root, day, store, sync_time)
+    version = transactions.run(spark, root, day, store, sync_time)
+    if with_report:
+        report(store, day)
+    return version
 
 
 def sync_days(spark, root: str, days: Iterable[str], store: StateStore, sync_time: datetime) -> int:

@@ -12,9 +12,9 @@ from tidemark.operators import quality as Q
 from tidemark.operators.activity import direct_counts, status_of, update_activity
 from tidemark.operators.hierarchy import group_activity
 from tidemark.operators.reconcile import dedup_latest, reconcile_snapshot, replace_children
-from tidemark.plans.inputs import metrics, mistyped_files, stage
+from tidemark.plans.inputs import Balance, balance, metrics, mistyped_files, stage
 from tidemark.schemas import CORRUPT, COUNTS, RAW, unreadable
-from tidemark.scratch import materialize
+from tidemark.scratch import counted, materialize
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
 
@@ -25,6 +25,7 @@ class GroupSync:
     members: DataFrame
     group_members: DataFrame
     counts: DataFrame | None = None
+    distinct_groups: int = 0
 
 
 def clean_groups(raw: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def build_groups(
     activity counts of the last day, only what stands above a change is counted anew; else activity is spread over the whole forest.
     """
     # Both feed several outputs and the activity loop; written once, they are shuffled once.
-    unique = materialize(
+    unique, distinct_groups = counted(
         dedup_latest(good.drop("raw_id", CORRUPT, "source_path"), ["group_id"], ["updated_at"]), "groups"
     )
     members = materialize(L.member_status(L.explode_members(unique), users), "members")
@@ -103,6 +104,7 @@ def build_groups(
         members,
         replace_children(stored_members, members, "group_id", unique if clear_empty_parents else None),
         counts,
+        distinct_groups,
     )
 
 
@@ -117,12 +119,14 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     store.record("quarantine", day, "groups", faults)
     store.record("metrics", day, "groups", metrics(spark, checked))
     if not checked.rows_in:
+        store.record("balance", day, "groups", balance(spark, Balance.of(checked)))
         return store.version
     if COUNTS in store.tables:
         options["stored_counts"] = store.read(COUNTS)
     sync = build_groups(
         checked.good, store.read("users"), store.read("groups"), store.read("group_members"), **options
     )
+    store.record("balance", day, "groups", balance(spark, Balance.of(checked), Balance.repeats(checked, sync.distinct_groups)))
     frames = {"groups": sync.groups, "group_members": sync.group_members}
     if sync.counts is not None:
         frames[COUNTS] = sync.counts

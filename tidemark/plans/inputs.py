@@ -62,6 +62,34 @@ def stage(tagged: DataFrame, name: str) -> Stage:
     return Stage(name, written, seen["rows"], seen["failed"])
 
 
+@dataclass(frozen=True)
+class Balance:
+    """What became of the rows that entered a stage: all of them were kept, failed, or skipped for a reason."""
+
+    stage: str
+    rows_in: int
+    rows_ok: int
+    rows_failed: int = 0
+    rows_skipped: int = 0
+    skipped_as: str = ""
+
+    @classmethod
+    def of(cls, stage: Stage) -> Balance:
+        return cls(stage.name, stage.rows_in, stage.rows_ok, stage.rows_failed)
+
+    @classmethod
+    def repeats(cls, before: Stage, distinct: int) -> Balance:
+        """One row of each key goes on."""
+        return cls("unique", before.rows_ok, distinct, rows_skipped=before.rows_ok - distinct, skipped_as="repeats of an id")
+
+
+def balance(spark, *stages: Balance) -> DataFrame:
+    """One row per stage, in order; ``rows_in = rows_ok + rows_failed + rows_skipped``, and the next stage's ``rows_in`` is ``rows_ok``."""
+    lines = [(k, s.stage, s.rows_in, s.rows_ok, s.rows_failed, s.rows_skipped, s.skipped_as) for k, s in enumerate(stages)]
+    shape = "step int, stage string, rows_in bigint, rows_ok bigint, rows_failed bigint, rows_skipped bigint, skipped_as string"
+    return spark.createDataFrame(lines, shape).coalesce(1)
+
+
 def metrics(spark, *stages: Stage) -> DataFrame:
     """Rows seen, kept and failed per stage."""
     lines = [(s.name, s.rows_in, s.rows_ok, s.rows_failed) for s in stages]

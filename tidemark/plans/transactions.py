@@ -10,11 +10,11 @@ from tidemark.functions.columns import day_of, minor_units, optional_col, safe_t
 from tidemark.functions.currencies import CURRENCY_CODES
 from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
-from tidemark.operators.reconcile import dedup_latest, delta_detect, merge_upsert
+from tidemark.operators.reconcile import CHANGED, LATE, NEW, NEWER, OUTCOME, classify_delta, dedup_latest, merge_upsert
 from tidemark.operators.star import Star, build_star
-from tidemark.plans.inputs import load, metrics, mistyped_files, stage, unusable
+from tidemark.plans.inputs import Balance, balance, load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, empty, unreadable
-from tidemark.scratch import materialize
+from tidemark.scratch import materialize, measured
 from tidemark.sources.rates import rates_from_documents
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
@@ -95,7 +95,17 @@ def convert(delta: DataFrame, rates: DataFrame, on_missing: str = "null") -> Dat
     ])
 
 
-def merge_all(store: StateStore, fact: DataFrame, star: Star, sync_time: datetime) -> dict[str, DataFrame]:
+def with_moments(stored: DataFrame, newer: DataFrame) -> DataFrame:
+    """Stored transactions with the moments of ``newer(transaction_id, updated_at)``; their own buckets are kept.
+
+    Nothing else of these rows changed, but their moment decides what is late from now on.
+    """
+    moments = newer.select("transaction_id", F.col("updated_at").alias("_moment"))
+    joined = stored.join(moments, "transaction_id", "left").withColumn("updated_at", F.coalesce("_moment", "updated_at"))
+    return joined.select(*stored.columns)
+
+
+def merge_all(store: StateStore, fact: DataFrame, star: Star, sync_time: datetime, newer: DataFrame | None = None) -> dict[str, DataFrame]:
     """The five tables after the merge, each on its own key and with its own list of updated columns.
 
     Sources are written tables: they bring no layout of their own, so each merge adopts the buckets of what is
@@ -109,9 +119,12 @@ def merge_all(store: StateStore, fact: DataFrame, star: Star, sync_time: datetim
         "transaction_budgets": star.transaction_budgets,
     }
     created = {"transactions": {"created_at": F.lit(sync_time).cast("timestamp_ntz")}}
+    stored = {name: store.read(name) for name in sources}
+    if newer is not None:
+        stored["transactions"] = with_moments(stored["transactions"], newer)
     return {
         name: merge_upsert(
-            store.read(name), source, TABLES[name].keys, TABLES[name].update_cols, created.get(name)
+            stored[name], source, TABLES[name].keys, TABLES[name].update_cols, created.get(name)
         )
         for name, source in sources.items()
     }
@@ -150,29 +163,38 @@ def apply(
     on_missing: str = "null",
 ) -> int:
     """The same for frames already at hand, as a streaming batch has them; ``label`` names the run's records."""
+    spark = flat.sparkSession
     # Written before it is split by key, so that the dump is parsed once.
-    flat = materialize(flat, "extracted")
+    flat, extracted = measured(flat, "extracted")
     checked = stage(clean_transactions(survivors(flat)), "transactions")
-    delta = delta_detect(
-        checked.good.drop("updated_time", CORRUPT, "source_path"),
-        store.read("transactions"),
-        ["transaction_id"],
-        compare_cols,
-    )
+    steps = [
+        Balance("extracted", extracted["rows"], checked.rows_in, rows_skipped=extracted["rows"] - checked.rows_in, skipped_as="repeats of an id"),
+        Balance.of(checked),
+    ]
+    timed = checked.good.withColumn("updated_at", safe_timestamp(F.col("updated_time"))).drop("updated_time", CORRUPT, "source_path")
+    outcomes = classify_delta(timed, store.read("transactions"), ["transaction_id"], compare_cols, "updated_at")
+    counts = {name: F.count_if(F.col(OUTCOME) == name) for name in (NEW, CHANGED, NEWER, LATE)}
+    outcomes, seen = measured(outcomes, "outcomes", **counts)
+    delta = outcomes.filter(F.col(OUTCOME).isin(NEW, CHANGED)).drop(OUTCOME)
+    going = seen[NEW] + seen[CHANGED]
+    steps.append(Balance("delta", checked.rows_ok, going, rows_skipped=checked.rows_ok - going, skipped_as=f"unchanged, {seen[LATE]} of them late"))
     # Pinned before anything is committed: fact, dimensions and junctions all see the same delta.
     converted = stage(convert(delta, rates, on_missing), "conversion")
+    steps.append(Balance.of(converted))
     faults = union_fill([
         Q.quarantine_record(checked.bad, "transactions"),
         Q.quarantine_record(converted.bad, "transactions"),
         mistyped_files(checked.tagged, "transactions"),
     ])
     store.record("quarantine", label, "transactions", faults)
-    store.record("metrics", label, "transactions", metrics(flat.sparkSession, checked, converted))
-    if not converted.rows_ok:
+    store.record("metrics", label, "transactions", metrics(spark, checked, converted))
+    store.record("balance", label, "transactions", balance(spark, *steps))
+    if not converted.rows_ok and not seen[NEWER]:
         return store.version
     fact = converted.good
     star = build_star(fact, cards, budgets)
-    frames = merge_all(store, fact, star, sync_time)
+    newer = materialize(outcomes.filter(F.col(OUTCOME) == NEWER).select("transaction_id", "updated_at"), "newer") if seen[NEWER] else None
+    frames = merge_all(store, fact, star, sync_time, newer)
     return store.commit(frames, laid_out={name for name in frames if store.aligned(name)})
 
 

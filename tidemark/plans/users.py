@@ -23,9 +23,9 @@ from tidemark.operators.reconcile import (
     reconcile_snapshot,
     replace_children,
 )
-from tidemark.plans.inputs import load, metrics, mistyped_files, stage, unusable
+from tidemark.plans.inputs import Balance, balance, load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, conform, unreadable
-from tidemark.scratch import materialize, measured
+from tidemark.scratch import counted, materialize, measured
 from tidemark.sources.snapshots import read_entity, union_fill
 from tidemark.sources.state import StateStore
 
@@ -39,6 +39,7 @@ class UserSync:
     users: DataFrame
     roles: DataFrame
     user_roles: DataFrame
+    distinct_users: int = 0
 
 
 @dataclass(frozen=True)
@@ -155,7 +156,7 @@ def build_users(
     """The day's users, the roles in use and all links, from valid users and what is stored."""
     # Written, the snapshot has no layout of its own, so the merge adopts the buckets of what is stored.
     columns = ["user_id", "user_name", "user_email", "created_at", "updated_at"]
-    unique = materialize(dedup_latest(good.select(*columns), ["user_id"], ["updated_at"]), "users")
+    unique, distinct_users = counted(dedup_latest(good.select(*columns), ["user_id"], ["updated_at"]), "users")
     users = reconcile_snapshot(
         unique,
         stored_users,
@@ -171,6 +172,7 @@ def build_users(
         users,
         L.distinct_roles(named.filter(F.col("role_name").isNotNull()), keep_unnamed_roles),
         replace_children(stored_links, batch_links, "user_id", good if clear_empty_parents else None),
+        distinct_users,
     )
 
 
@@ -189,9 +191,11 @@ def run(spark, root: str, day: str, store: StateStore, **options) -> int:
     store.record("quarantine", day, "users", faults)
     store.record("metrics", day, "users", metrics(spark, checked))
     if not checked.rows_in:
+        store.record("balance", day, "users", balance(spark, Balance.of(checked)))
         # No index at all is a failed delivery, not an empty company: nobody is marked inactive for it.
         return store.version
     sync = build_users(checked.good, roles, store.read("users"), store.read("user_roles"), **options)
+    store.record("balance", day, "users", balance(spark, Balance.of(checked), Balance.repeats(checked, sync.distinct_users)))
     spec = TABLES["roles"]
     return store.commit(
         {

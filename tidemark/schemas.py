@@ -110,11 +110,11 @@ TABLES = {
         _struct(
             transaction_id=TEXT, transaction_type=TEXT, transaction_date=DAY, original_amount=MONEY,
             currency_code=TEXT, exchange_rate=DOUBLE, amount_usd=MONEY, merchant_name=TEXT, card_id=TEXT,
-            budget_id=TEXT, created_at=LOCAL_MOMENT,
+            budget_id=TEXT, created_at=LOCAL_MOMENT, updated_at=MOMENT,
         ),
         ("transaction_id",),
         ("amount_usd", "original_amount", "currency_code", "exchange_rate", "merchant_name", "card_id", "budget_id",
-         "transaction_date"),
+         "transaction_date", "updated_at"),
     ),
     "transaction_cards": TableSpec(
         _struct(
