@@ -11,6 +11,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.reconcile import delta_detect, merge_upsert
 from tidemark.operators.star import build_star
 from tidemark.plans import groups, transactions, users
+from tidemark.plans.inputs import balance
 from tidemark.schemas import CORRUPT, MONEY, TABLES
 from tidemark.scratch import materialize
 
@@ -305,3 +306,22 @@ def transaction_star_day(t: Tables) -> DataFrame:
         ),
     ]
     return links[0].unionByName(links[1])
+
+
+@query(f"""WITH {DELTA_SQL},
+n AS (SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS again,
+             (SELECT count(*) FROM orders WHERE o_totalprice >= 5000) AS named, (SELECT count(*) FROM dump) AS good,
+             (SELECT count(*) FROM dump d LEFT JOIN old o ON o.id = d.id WHERE o.id IS NULL OR o.amount IS DISTINCT FROM d.amount) AS delta,
+             (SELECT count(*) FROM fact) AS converted),
+m AS (SELECT *, named + CASE WHEN orders > named THEN 1 ELSE 0 END AS kept FROM n)
+SELECT 0 AS step, 'extracted' AS stage, orders + again AS rows_in, kept AS rows_ok, 0 AS rows_failed, orders + again - kept AS rows_skipped FROM m
+UNION ALL SELECT 1, 'transactions', kept, good, kept - good, 0 FROM m
+UNION ALL SELECT 2, 'delta', good, delta, 0, good - delta FROM m
+UNION ALL SELECT 3, 'conversion', delta, converted, delta - converted, 0 FROM m""")
+def run_metrics_balance(t: Tables) -> DataFrame:
+    """What became of every row of a transactions dump, stage by stage: kept, failed or skipped."""
+    stored = stored_transactions(t).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    prepared = transactions.prepare(transactions.extract_transactions(transaction_dump(t)), stored, rates(t))
+    return balance(t.spark, *prepared.steps).select(
+        F.col("step"), "stage", *[F.col(c) for c in ("rows_in", "rows_ok", "rows_failed", "rows_skipped")]
+    )

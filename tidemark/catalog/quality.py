@@ -141,3 +141,29 @@ def referential_orphans(t: Tables) -> DataFrame:
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def duplicate_keys(t: Tables) -> DataFrame:
     return Q.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def _reference_sql(child: str, column: str, parent: str, key: str, rows: str, keys: str) -> str:
+    lost = f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {keys})"
+    return f"""SELECT '{child}.{column} -> {parent}.{key}' AS reference, count(*) AS row_count, count_if({column} IS NULL) AS null_rows,
+        count_if({lost}) AS orphan_rows, count(DISTINCT CASE WHEN {lost} THEN {column} END) AS orphan_keys FROM {rows}"""
+
+
+@query("WITH large AS (SELECT * FROM orders WHERE o_totalprice > 100000), fewer AS (SELECT * FROM part WHERE p_size < 50),\n"
+       "named AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey + 20 END AS o_custkey FROM orders)\n" + "\nUNION ALL ".join([
+           _reference_sql("lineitem", "l_orderkey", "large", "o_orderkey", "lineitem", "large"),
+           _reference_sql("lineitem", "l_partkey", "fewer", "p_partkey", "lineitem", "fewer"),
+           _reference_sql("lineitem", "l_suppkey", "supplier", "s_suppkey", "lineitem", "supplier"),
+           _reference_sql("named", "o_custkey", "customer", "c_custkey", "named", "customer"),
+       ]))
+def run_integrity_report(t: Tables) -> DataFrame:
+    """Rows that point at nothing, over four references in one aggregation."""
+    frames = {
+        "lineitem": t.lineitem, "large": t.orders.filter("o_totalprice > 100000"), "fewer": t.part.filter("p_size < 50"), "supplier": t.supplier,
+        "customer": t.customer, "named": t.orders.select(F.expr("if(o_orderstatus = 'P', null, o_custkey + 20)").alias("o_custkey")),
+    }
+    references = [
+        Q.Reference("lineitem", "l_orderkey", "large", "o_orderkey"), Q.Reference("lineitem", "l_partkey", "fewer", "p_partkey"),
+        Q.Reference("lineitem", "l_suppkey", "supplier", "s_suppkey"), Q.Reference("named", "o_custkey", "customer", "c_custkey"),
+    ]
+    return Q.check_references(frames, references)

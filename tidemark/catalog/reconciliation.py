@@ -258,3 +258,23 @@ def conform_schema(t: Tables) -> DataFrame:
     typed = conform(older, TABLES["users"].schema).drop("created_at", "updated_at")
     wider = T.StructType([*typed.schema.fields, T.StructField("seen_on", T.LongType())])
     return align_schema(typed, wider)
+
+
+@query("""WITH lines AS (SELECT o_orderkey, l_linenumber, o_orderpriority, CAST(o_orderdate AS DATE) + CAST(l_linenumber - 4 AS INTEGER) AS updated_on,
+        CAST(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+incoming AS (SELECT o_orderkey, updated_on, amount FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY updated_on DESC, amount) AS rn
+    FROM lines WHERE l_linenumber <= CASE o_orderpriority WHEN '1-URGENT' THEN 3 ELSE 5 END) WHERE rn = 1),
+stored AS (SELECT o_orderkey, updated_on, min(amount) AS amount FROM lines WHERE l_linenumber = 4 GROUP BY o_orderkey, updated_on)
+SELECT i.o_orderkey, i.updated_on, i.amount, CASE WHEN s.o_orderkey IS NULL THEN 'new' WHEN i.updated_on < s.updated_on THEN 'late'
+    WHEN i.amount <> s.amount THEN 'changed' WHEN i.updated_on > s.updated_on THEN 'newer' ELSE 'same' END AS outcome
+FROM incoming i LEFT JOIN stored s ON s.o_orderkey = i.o_orderkey""")
+def late_update_guard(t: Tables) -> DataFrame:
+    """Versions of orders against stored ones: what is new, changed or the same, and what comes after a later version was stored."""
+    lines = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "l_linenumber", "o_orderpriority", F.expr("date_add(to_date(o_orderdate), int(l_linenumber) - 4)").alias("updated_on"),
+        F.expr("if(o_orderpriority = '5-LOW', o_totalprice, l_extendedprice)").try_cast(MONEY).alias("amount"),
+    )
+    sent = lines.filter("l_linenumber <= if(o_orderpriority = '1-URGENT', 3, 5)").select("o_orderkey", "updated_on", "amount")
+    stored = lines.filter("l_linenumber = 4").groupBy("o_orderkey", "updated_on").agg(F.min("amount").alias("amount"))
+    return R.classify_delta(R.dedup_latest(sent, ["o_orderkey"], ["updated_on"]), stored, ["o_orderkey"], ["amount"], "updated_on")

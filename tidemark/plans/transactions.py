@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,7 +13,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
 from tidemark.operators.reconcile import CHANGED, LATE, NEW, NEWER, OUTCOME, classify_delta, dedup_latest, merge_upsert
 from tidemark.operators.star import Star, build_star
-from tidemark.plans.inputs import Balance, balance, load, metrics, mistyped_files, stage, unusable
+from tidemark.plans.inputs import Balance, Stage, balance, load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, empty, unreadable
 from tidemark.scratch import materialize, measured
 from tidemark.sources.rates import rates_from_documents
@@ -151,19 +152,21 @@ def run(
     )
 
 
-def apply(
-    flat: DataFrame,
-    cards: DataFrame,
-    budgets: DataFrame,
-    rates: DataFrame,
-    label: str,
-    store: StateStore,
-    sync_time: datetime,
-    compare_cols: tuple[str, ...] = ("original_amount",),
-    on_missing: str = "null",
-) -> int:
-    """The same for frames already at hand, as a streaming batch has them; ``label`` names the run's records."""
-    spark = flat.sparkSession
+@dataclass(frozen=True)
+class Prepared:
+    """A dump on its way to the merge: checked rows, converted delta, rows of which only the moment is news, and what became of all."""
+
+    checked: Stage
+    converted: Stage
+    newer: DataFrame
+    newer_rows: int
+    steps: tuple[Balance, ...]
+
+
+def prepare(
+    flat: DataFrame, stored: DataFrame, rates: DataFrame, compare_cols: tuple[str, ...] = ("original_amount",), on_missing: str = "null"
+) -> Prepared:
+    """Survivors, validation, delta and conversion, each written once; late rows and unchanged ones are counted as skipped."""
     # Written before it is split by key, so that the dump is parsed once.
     flat, extracted = measured(flat, "extracted")
     checked = stage(clean_transactions(survivors(flat)), "transactions")
@@ -172,7 +175,7 @@ def apply(
         Balance.of(checked),
     ]
     timed = checked.good.withColumn("updated_at", safe_timestamp(F.col("updated_time"))).drop("updated_time", CORRUPT, "source_path")
-    outcomes = classify_delta(timed, store.read("transactions"), ["transaction_id"], compare_cols, "updated_at")
+    outcomes = classify_delta(timed, stored, ["transaction_id"], compare_cols, "updated_at")
     counts = {name: F.count_if(F.col(OUTCOME) == name) for name in (NEW, CHANGED, NEWER, LATE)}
     outcomes, seen = measured(outcomes, "outcomes", **counts)
     delta = outcomes.filter(F.col(OUTCOME).isin(NEW, CHANGED)).drop(OUTCOME)
@@ -181,6 +184,25 @@ def apply(
     # Pinned before anything is committed: fact, dimensions and junctions all see the same delta.
     converted = stage(convert(delta, rates, on_missing), "conversion")
     steps.append(Balance.of(converted))
+    newer = outcomes.filter(F.col(OUTCOME) == NEWER).select("transaction_id", "updated_at")
+    return Prepared(checked, converted, newer, seen[NEWER], tuple(steps))
+
+
+def apply(
+    flat: DataFrame,
+    cards: DataFrame,
+    budgets: DataFrame,
+    rates: DataFrame,
+    label: str,
+    store: StateStore,
+    sync_time: datetime,
+    compare_cols: tuple[str, ...] = ("original_amount",),
+    on_missing: str = "null",
+) -> int:
+    """The same for frames already at hand, as a streaming batch has them; ``label`` names the run's records."""
+    spark = flat.sparkSession
+    prepared = prepare(flat, store.read("transactions"), rates, compare_cols, on_missing)
+    checked, converted = prepared.checked, prepared.converted
     faults = union_fill([
         Q.quarantine_record(checked.bad, "transactions"),
         Q.quarantine_record(converted.bad, "transactions"),
@@ -188,12 +210,12 @@ def apply(
     ])
     store.record("quarantine", label, "transactions", faults)
     store.record("metrics", label, "transactions", metrics(spark, checked, converted))
-    store.record("balance", label, "transactions", balance(spark, *steps))
-    if not converted.rows_ok and not seen[NEWER]:
+    store.record("balance", label, "transactions", balance(spark, *prepared.steps))
+    if not converted.rows_ok and not prepared.newer_rows:
         return store.version
     fact = converted.good
     star = build_star(fact, cards, budgets)
-    newer = materialize(outcomes.filter(F.col(OUTCOME) == NEWER).select("transaction_id", "updated_at"), "newer") if seen[NEWER] else None
+    newer = materialize(prepared.newer, "newer") if prepared.newer_rows else None
     frames = merge_all(store, fact, star, sync_time, newer)
     return store.commit(frames, laid_out={name for name in frames if store.aligned(name)})
 
