@@ -85,3 +85,27 @@ def test_references_in_one_aggregation(spark, rows):
     assert {tuple(r) for r in checked.collect()} == {("a.x -> b.k", 4, 1, 1, 1), ("a.y -> b.k", 4, 0, 2, 1)}
     plan = checked._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_a_second_run_parses_no_file_and_a_third_only_the_new_one(spark, tmp_path, monkeypatch):
+    from tidemark.plans import groups, inputs, users
+    from tidemark.sources import snapshots
+
+    write_days(tmp_path)
+    store = StateStore(spark, str(tmp_path / "state"), buckets=2)
+    version = sync_day(spark, str(tmp_path), "day1", store, NOW, with_report=False, only_new=True)
+    read, taken = snapshots.read_entity, []
+
+    def spy(spark, root, day, entity, schema, multiline=None, files=None):
+        taken.append((entity, files))
+        return read(spark, root, day, entity, schema, multiline, files)
+
+    for module in (inputs, users, groups, transactions):
+        monkeypatch.setattr(module, "read_entity", spy)
+    assert sync_day(spark, str(tmp_path), "day1", store, NOW, only_new=True) == version and taken == []
+    _write(tmp_path, "day1", "transactions", "2.json", [_payment("t8", "100", 2, "USD", "c1", "b1")])
+    assert sync_day(spark, str(tmp_path), "day1", store, NOW, with_report=False, only_new=True) == version + 1
+    assert [(e, [f.rsplit("/", 1)[-1] for f in files]) for e, files in taken if files is not None] == [("transactions", ["2.json"])]
+    assert store.read("transactions").count() == 8
+    ledger = store.records("files")
+    assert ledger.filter("entity = 'transactions'").count() == 2 and ledger.filter("entity = 'agents'").count() == 1

@@ -10,21 +10,23 @@ from tidemark.plans.report import report
 from tidemark.sources.state import StateStore
 
 
-def sync_day(spark, root: str, day: str, store: StateStore, sync_time: datetime, with_report: bool = True) -> int:
+def sync_day(spark, root: str, day: str, store: StateStore, sync_time: datetime, with_report: bool = True, only_new: bool = False) -> int:
     """Users, then groups (they need the users' status), then transactions; returns the last version.
 
-    The day's report (integrity, circles, statuses) is recorded after the last commit.
+    The day's report (integrity, circles, statuses) is recorded after the last commit. ``only_new`` passes over files that earlier runs
+    have recorded; where there is nothing else, nothing is parsed, committed or recorded.
     """
-    users.run(spark, root, day, store)
-    groups.run(spark, root, day, store)
-    version = transactions.run(spark, root, day, store, sync_time)
-    if with_report:
+    before = store.version
+    after = users.run(spark, root, day, store, only_new=only_new)
+    groups.run(spark, root, day, store, only_new=only_new, users_changed=after != before)
+    version = transactions.run(spark, root, day, store, sync_time, only_new=only_new)
+    if with_report and (version != before or not only_new):
         report(store, day)
     return version
 
 
-def sync_days(spark, root: str, days: Iterable[str], store: StateStore, sync_time: datetime) -> int:
+def sync_days(spark, root: str, days: Iterable[str], store: StateStore, sync_time: datetime, **options) -> int:
     version = store.version
     for day in days:
-        version = sync_day(spark, root, day, store, sync_time)
+        version = sync_day(spark, root, day, store, sync_time, **options)
     return version

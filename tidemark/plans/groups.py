@@ -12,7 +12,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.activity import direct_counts, status_of, update_activity
 from tidemark.operators.hierarchy import group_activity
 from tidemark.operators.reconcile import dedup_latest, reconcile_snapshot, replace_children
-from tidemark.plans.inputs import Balance, balance, metrics, mistyped_files, stage
+from tidemark.plans.inputs import Balance, Inputs, balance, metrics, mistyped_files, stage
 from tidemark.schemas import CORRUPT, COUNTS, RAW, unreadable
 from tidemark.scratch import counted, materialize
 from tidemark.sources.snapshots import read_entity, union_fill
@@ -108,11 +108,23 @@ def build_groups(
     )
 
 
-def run(spark, root: str, day: str, store: StateStore, **options) -> int:
+def run(spark, root: str, day: str, store: StateStore, only_new: bool = False, **options) -> int:
     """Sync one day's groups; needs the day's users to be committed, for the members' status.
 
     A store made with ``COUNTED_TABLES`` keeps activity counts, and then only what stands above a change is counted anew.
+    With ``only_new`` nothing is read where the ledger has all files as they are; the index of users counts as one of the inputs,
+    because activity follows it.
     """
+    inputs = Inputs(spark, root, day, store, ("admin_groups",))
+    if only_new and not inputs.any_new and not options.pop("users_changed", False):
+        return store.version
+    options.pop("users_changed", None)
+    version = _run(spark, root, day, store, **options)
+    inputs.done()
+    return version
+
+
+def _run(spark, root: str, day: str, store: StateStore, **options) -> int:
     raw = read_entity(spark, root, day, "admin_groups", RAW["admin_groups"])
     checked = stage(clean_groups(raw), "groups")
     faults = union_fill([Q.quarantine_record(checked.bad, "groups"), mistyped_files(checked.tagged, "groups")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,7 +10,42 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators import quality as Q
 from tidemark.schemas import CORRUPT, MISTYPED, RAW, unreadable
 from tidemark.scratch import materialize, measured
-from tidemark.sources.snapshots import read_entity
+from tidemark.sources.snapshots import listing, read_entity
+from tidemark.sources.state import StateStore
+
+
+LEDGER = "files"
+_IDENTITY = ["source_path", "length", "modified"]
+
+
+def unread(spark, root: str, day: str, entity: str, store: StateStore) -> tuple[DataFrame, list[str]]:
+    """The files of a folder as a table, and the paths of those that no run has recorded as they are now.
+
+    Only names, sizes and times are compared, before anything is read; a file that was written again counts as a new one.
+    """
+    files = materialize(listing(spark, root, day, entity).coalesce(1), "listing")
+    known = store.records_or_none(LEDGER)
+    fresh = files if known is None else files.join(known.select(*_IDENTITY).distinct(), _IDENTITY, "left_anti")
+    return files, [row.source_path for row in fresh.select("source_path").collect()]
+
+
+class Inputs:
+    """The folders of a run: which files are new, and the ledger lines to keep once the run is committed."""
+
+    def __init__(self, spark, root: str, day: str, store: StateStore, entities: Sequence[str]):
+        self._store, self._day = store, day
+        found = {entity: unread(spark, root, day, entity, store) for entity in entities}
+        self._files = {entity: files for entity, (files, _) in found.items()}
+        self.fresh = {entity: paths for entity, (_, paths) in found.items()}
+
+    @property
+    def any_new(self) -> bool:
+        return any(self.fresh.values())
+
+    def done(self) -> None:
+        """After the commit: a run that fails before it reads its files again."""
+        for entity, files in self._files.items():
+            self._store.record(LEDGER, self._day, entity, files)
 
 
 def load(spark, root: str, day: str, entity: str) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.fx import NO_RATE, convert_currency
 from tidemark.operators.reconcile import CHANGED, LATE, NEW, NEWER, OUTCOME, classify_delta, dedup_latest, merge_upsert
 from tidemark.operators.star import Star, build_star
-from tidemark.plans.inputs import Balance, Stage, balance, load, metrics, mistyped_files, stage, unusable
+from tidemark.plans.inputs import Balance, Inputs, Stage, balance, load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, empty, unreadable
 from tidemark.scratch import materialize, measured
 from tidemark.sources.rates import rates_from_documents
@@ -139,17 +139,27 @@ def run(
     sync_time: datetime,
     compare_cols: tuple[str, ...] = ("original_amount",),
     on_missing: str = "null",
+    only_new: bool = False,
 ) -> int:
-    """Sync one day's transactions; what is neither new nor changed is left alone."""
-    flat = extract_transactions(read_entity(spark, root, day, "transactions", RAW["transactions"]))
+    """Sync one day's transactions; what is neither new nor changed is left alone.
+
+    With ``only_new`` only files that the ledger doesn't have as they are now are read, and none at all if there is no such one.
+    """
+    inputs = Inputs(spark, root, day, store, ("transactions",))
+    if only_new and not inputs.any_new:
+        return store.version
+    files = inputs.fresh["transactions"] if only_new else None
+    flat = extract_transactions(read_entity(spark, root, day, "transactions", RAW["transactions"], files=files))
     cards, budgets = load(spark, root, day, "cards"), load(spark, root, day, "budgets")
     rates = rates_from_documents(read_entity(spark, root, day, "rates", RAW["rates"]))
     store.record(
         "quarantine", day, "dimensions", union_fill([unusable(cards, "cards"), unusable(budgets, "budgets")])
     )
-    return apply(
+    version = apply(
         flat, extract_cards(cards), extract_budgets(budgets), rates, day, store, sync_time, compare_cols, on_missing
     )
+    inputs.done()
+    return version
 
 
 @dataclass(frozen=True)

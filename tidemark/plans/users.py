@@ -23,7 +23,7 @@ from tidemark.operators.reconcile import (
     reconcile_snapshot,
     replace_children,
 )
-from tidemark.plans.inputs import Balance, balance, load, metrics, mistyped_files, stage, unusable
+from tidemark.plans.inputs import Balance, Inputs, balance, load, metrics, mistyped_files, stage, unusable
 from tidemark.schemas import CORRUPT, RAW, TABLES, conform, unreadable
 from tidemark.scratch import counted, materialize, measured
 from tidemark.sources.snapshots import read_entity, union_fill
@@ -176,8 +176,20 @@ def build_users(
     )
 
 
-def run(spark, root: str, day: str, store: StateStore, **options) -> int:
-    """Sync one day's users into the store; returns the version that holds them."""
+def run(spark, root: str, day: str, store: StateStore, only_new: bool = False, **options) -> int:
+    """Sync one day's users into the store; returns the version that holds them.
+
+    With ``only_new`` nothing is read where the ledger has all files as they are: an index is a whole, so one new file calls for all.
+    """
+    inputs = Inputs(spark, root, day, store, ("agents", "agent_details", "roles"))
+    if only_new and not inputs.any_new:
+        return store.version
+    version = _run(spark, root, day, store, **options)
+    inputs.done()
+    return version
+
+
+def _run(spark, root: str, day: str, store: StateStore, **options) -> int:
     index, facts = with_facts(read_entity(spark, root, day, "agents", RAW["agents"]))
     details, roles = load(spark, root, day, "agent_details"), load(spark, root, day, "roles")
     # Written once: one join and one parse serve users, links, quarantine and metrics.

@@ -138,3 +138,12 @@ class StateStore:
 
     def records(self, kind: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/_{kind}")
+
+    def records_or_none(self, kind: str) -> DataFrame | None:
+        """The records of all runs, or None where no run has left any."""
+        try:
+            return self.records(kind)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
