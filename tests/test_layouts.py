@@ -38,3 +38,24 @@ def test_group_member_layouts(spark, tmp_path):
     links = {(r.group_id, r.user_id) for r in store.read("group_members").collect() if r.group_id == 10}
     assert links == {(10, 1), (10, 2)}
     assert "bad_members" in str(store.records("quarantine").collect())
+
+
+def test_each_record_has_its_own_source_of_a_name(spark, tmp_path):
+    """One record with a name at the top level does not cost those that are named in their contact."""
+    store = StateStore(spark, str(tmp_path / "state"), buckets=2)
+    apart = [{"id": k, "contact": {"name": f"n{k}", "email": f"n{k}@x.org"}} for k in range(1, 6)]
+    _dump(tmp_path, "d1", "agents", apart)
+    users.run(spark, str(tmp_path), "d1", store)
+    _dump(tmp_path, "d2", "agents", [
+        *apart, {"id": 6, "name": "Zed", "email": "z@x.org"}, {"id": 7, "first_name": "Bo", "email": "b@x.org"}, {"id": 8, "email": "nameless@x.org"},
+        {"id": 9, "name": "own", "contact": {"name": "other", "email": "c@x.org"}},
+    ])
+    users.run(spark, str(tmp_path), "d2", store)
+    found = {r.user_id: (r.user_name, r.user_email, r.status) for r in store.read("users").collect()}
+    assert found == {k: (f"n{k}", f"n{k}@x.org", "active") for k in range(1, 6)} | {
+        6: ("Zed", "z@x.org", "active"), 7: ("Bo", "b@x.org", "active"), 9: ("own", "c@x.org", "active")
+    }
+    _dump(tmp_path, "d3", "agents", [{"id": 1, "contact": {"email": "a@x.org"}}, {"id": 2}])
+    users.run(spark, str(tmp_path), "d3", store)
+    found = {r.user_id: (r.user_name, r.user_email) for r in store.read("users").filter("status = 'active'").collect()}
+    assert found == {1: ("Unknown Name", "a@x.org"), 2: ("Unknown Name", "no-email@placeholder.com")}
