@@ -1,13 +1,14 @@
 """Chat formatting by perspective rotation: every participant of a dialogue once as the assistant.
 
 For each dialogue and each of its participants there is one rendering: turns of that speaker are the assistant's and are
-trained on (``mask``), turns of all others are users' and carry the speaker's name; system turns are no participant's and
-stay system turns. A rendering is its rows in the order of ``turn`` and ``tie``: one row per turn, so a dialogue of any
+trained on (``mask``, and ``train_from`` to ``train_to`` in code points of ``rendered``: the text and its end mark, not the header), turns of all
+others are users' and carry the speaker's name; system turns are no participant's and stay system turns. A rendering is its rows in the order of ``turn`` and ``tie``: one row per turn, so a dialogue of any
 length is never gathered in one place; written in that order, the ``rendered`` texts one after the other are the rendering.
 
 Null texts count as empty, a null speaker as ``unknown``, rows with a null conversation are one conversation. Turns with the
 same number keep an order of their own by speaker and text (``tie``, a hash); rows that repeat are all rendered. A mark
-``<|`` inside a text gets a blank, so that no text can forge the frame. A conversation of system turns only has no
+``<|`` inside a text gets a blank, and in a name ``|>`` and control characters too, so that neither can forge the frame. Very long texts are
+rendered as they are. A conversation of system turns only has no
 participant and no rendering. Extra columns are not touched; empty tables give empty results.
 
 Only built-in functions: the participants are combined before the shuffle, and the one join has a side that is unique by
@@ -21,9 +22,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 SYSTEM = "system"
 
 
-def _rendered(kind: Column, name: Column, text: Column) -> Column:
-    head = F.concat(F.lit("<|"), kind, F.when(name.isNotNull(), F.concat(F.lit(" name="), name)).otherwise(""), F.lit("|>\n"))
-    return F.concat(head, text, F.lit("<|end|>\n"))
+END = "<|end|>\n"
+
+
+def _head(kind: Column, name: Column) -> Column:
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r"[\x00-\x1F\x7F]+", " "), r"<\|", "< |"), r"\|>", "| >")
+    return F.concat(F.lit("<|"), kind, F.when(name.isNotNull(), F.concat(F.lit(" name="), plain)).otherwise(""), F.lit("|>\n"))
 
 
 def rotated(turns: DataFrame, speaker: str = "role", system: str = SYSTEM) -> DataFrame:
@@ -38,9 +42,12 @@ def rotated(turns: DataFrame, speaker: str = "role", system: str = SYSTEM) -> Da
     own = F.col("speaker") == F.col("perspective")
     kind = F.when(own, "assistant").when(F.col("speaker") == system, "system").otherwise("user")
     name = F.when((F.col("speaker") != system) & ~own, F.col("speaker"))
-    return said.join(who, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
-        "conv_id", "perspective", "turn", "speaker", kind.alias("kind"), own.alias("mask"),
-        _rendered(kind, name, F.col("text")).alias("rendered"), F.xxhash64("speaker", "text").alias("tie"),
+    tie = F.md5(F.concat(F.char_length("speaker").cast("string"), F.lit(":"), "speaker", "text"))
+    framed = said.join(who, F.col("conv_id").eqNullSafe(F.col("_conv"))).withColumns({"kind": kind, "mask": own, "_head": _head(kind, name)})
+    return framed.select(
+        "conv_id", "perspective", "turn", "speaker", "kind", "mask", F.concat("_head", "text", F.lit(END)).alias("rendered"),
+        F.when(own, F.char_length("_head")).alias("train_from"),
+        F.when(own, F.char_length("_head") + F.char_length("text") + len(END)).alias("train_to"), tie.alias("tie"),
     )
 
 
@@ -49,5 +56,5 @@ def coverage(rotations: DataFrame) -> DataFrame:
     return rotations.groupBy("conv_id", "perspective").agg(
         F.count(F.lit(1)).alias("n_turns"), F.count_if("mask").alias("n_trained_turns"),
         F.sum(F.char_length("rendered")).alias("n_chars"),
-        F.sum(F.when(F.col("mask"), F.char_length("rendered")).otherwise(0)).alias("n_trained_chars"),
+        F.sum(F.coalesce(F.col("train_to") - F.col("train_from"), F.lit(0))).alias("n_trained_chars"),
     )

@@ -78,7 +78,8 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every dialogue once for each of its participants."""
     return chat_format.rotated(table(spark, folder, "conversations")).select(
-        "conv_id", "perspective", "turn", "speaker", "kind", "mask", "rendered"
+        "conv_id", "perspective", "turn", "speaker", "kind", "mask", "rendered", F.col("train_from").cast("long").alias("train_from"),
+        F.col("train_to").cast("long").alias("train_to"), "tie",
     )
 
 
@@ -86,10 +87,14 @@ ORACLES["op5_chat_format"] = r"""
 WITH said AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
 who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
 kinds AS (SELECT s.*, w.perspective, CASE WHEN s.speaker = w.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system'
-    ELSE 'user' END AS kind FROM said s JOIN who w ON s.conv_id IS NOT DISTINCT FROM w.conv_id)
-SELECT conv_id, perspective, turn, speaker, kind, speaker = perspective AS mask,
-    '<|' || kind || CASE WHEN kind = 'user' THEN ' name=' || speaker ELSE '' END || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered
-FROM kinds"""
+    ELSE 'user' END AS kind FROM said s JOIN who w ON s.conv_id IS NOT DISTINCT FROM w.conv_id),
+heads AS (SELECT *, '<|' || kind || CASE WHEN kind = 'user' THEN ' name=' || replace(replace(regexp_replace(speaker, '[\x00-\x1F\x7F]+', ' ', 'g'),
+    '<|', '< |'), '|>', '| >') ELSE '' END || '|>' || chr(10) AS head FROM kinds)
+SELECT conv_id, perspective, turn, speaker, kind, speaker = perspective AS mask, head || text || '<|end|>' || chr(10) AS rendered,
+    CASE WHEN speaker = perspective THEN length(head) END AS train_from,
+    CASE WHEN speaker = perspective THEN length(head) + length(text) + 8 END AS train_to,
+    md5(length(speaker) || ':' || speaker || text) AS tie
+FROM heads"""
 
 
 @query
