@@ -32,7 +32,7 @@ def agents(t: Tables) -> DataFrame:
 
 
 def agent_details(t: Tables) -> DataFrame:
-    return t.orders.filter("o_totalprice > 200000").select(
+    return t.orders.select(
         F.col("o_custkey").cast("string").alias("id"),
         F.struct(
             F.expr("if(o_orderstatus = 'P', null, concat('Det ', o_orderkey))").alias("name"),
@@ -63,7 +63,7 @@ def stored_day_users(t: Tables) -> DataFrame:
 
 
 def stored_day_links(t: Tables) -> DataFrame:
-    return t.orders.filter("o_orderstatus = 'F' and o_totalprice < 200000").select(
+    return t.orders.filter("o_orderstatus = 'F'").select(
         F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("role_id"),
         F.lit("stored").alias("role_name"),
     ).distinct()
@@ -80,14 +80,14 @@ det AS (SELECT * FROM (
         AS rn
     FROM (SELECT o_custkey AS k, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'Det ' || o_orderkey END AS name,
                  o_orderdate AS updated_at, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS role
-          FROM orders WHERE o_totalprice > 200000)) WHERE rn = 1),
+          FROM orders)) WHERE rn = 1),
 good AS (SELECT i.k, coalesce(d.name, i.name, 'Unknown Name') AS name, i.email,
                 coalesce(d.updated_at, i.updated_at) AS updated_at, d.role
          FROM idx i LEFT JOIN det d ON d.k = i.k WHERE NOT i.bad AND i.email <> ''),
 old AS (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_mktsegment <> 'BUILDING'),
 links AS (
     SELECT o_custkey AS k, o_orderpriority AS role FROM orders
-    WHERE o_orderstatus = 'F' AND o_totalprice < 200000 AND o_custkey NOT IN (SELECT k FROM good)
+    WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT k FROM good)
     GROUP BY ALL
     UNION ALL SELECT k, role FROM good WHERE role <> '3-MEDIUM'
     UNION ALL SELECT k, '0-BASIC' FROM good WHERE role IS NOT NULL),

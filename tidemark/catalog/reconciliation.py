@@ -207,11 +207,11 @@ def distinct_links(t: Tables) -> DataFrame:
 @query("""SELECT c.c_custkey AS user_id, c.c_name, o.o_orderkey, o.o_totalprice
 FROM customer c LEFT JOIN (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
-    FROM orders WHERE o_orderstatus = 'P') o ON o.o_custkey = c.c_custkey AND o.rn = 1""")
+    FROM orders) o ON o.o_custkey = c.c_custkey AND o.rn = 1""")
 def left_enrich(t: Tables) -> DataFrame:
-    """Customers with their latest pending order as the details record."""
+    """Customers with their latest order as the details record."""
     index = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name")
-    details = t.orders.filter("o_orderstatus = 'P'").select(
+    details = t.orders.select(
         F.col("o_custkey").alias("user_id"), "o_orderkey", "o_totalprice", "o_orderdate"
     )
     return R.left_enrich(index, details, "user_id", ["o_orderdate"]).select(
