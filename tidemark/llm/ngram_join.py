@@ -296,13 +296,15 @@ class NgramJoin:
     def links(self) -> DataFrame:
         """``a, b``: links between nodes, enough of them to connect what any links connect."""
         met = self._met()
-        self._known = materialize(self._bits.dropDuplicates(["node"]).mapInArrow(
+        # Only nodes that meet another one are ever compared.
+        meeting = met.select(F.explode(F.array("node", "leader")).alias("node")).distinct()
+        self._known = materialize(self._bits.join(meeting, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(
             _signed_bits, "node long, bits binary, n long, " + ", ".join(f"s{k} long" for k in range(SIGNATURE // 64))
         ), "bits")
         pairs = met.filter("node <> leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         found = self._verified(pairs)
         band = F.floor(F.log("n") / F.lit(math.log(100 / self.percent))).alias("band")
-        live, rows = counted(met.filter("many").select("gram", "node", "n", "pos", "rest", band).distinct(), "live")
+        live, rows = counted(met.filter("many").select("gram", "node", "n", "pos", "rest", band), "live")
         before = math.inf
         for turn in itertools.count():
             if not rows:
