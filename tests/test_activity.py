@@ -92,10 +92,8 @@ def test_status_is_that_of_propagation(spark, rows):
 
 
 def test_a_store_with_counts_syncs_the_same_groups(spark, tmp_path):
-    from datetime import datetime
-
     from tests.two_days import write_days
-    from tidemark.plans.day import sync_days
+    from tidemark.plans import groups as group_plan, users
     from tidemark.schemas import COUNTED_TABLES, COUNTS
     from tidemark.sources.state import StateStore
 
@@ -104,7 +102,8 @@ def test_a_store_with_counts_syncs_the_same_groups(spark, tmp_path):
     for name, tables in (("plain", {}), ("counted", {"tables": COUNTED_TABLES})):
         store = StateStore(spark, str(tmp_path / name), buckets=2, **tables)
         for day in ("day1", "day2"):
-            sync_days(spark, str(tmp_path / "dumps"), [day], store, datetime(2026, 1, 6))
+            users.run(spark, str(tmp_path / "dumps"), day, store)
+            group_plan.run(spark, str(tmp_path / "dumps"), day, store)
             groups.append(sorted(map(tuple, store.read("groups").collect()), key=str))
     assert groups[:2] == groups[2:]
     # The second day's users 11 and 16 are gone; group 3 moved below group 2.
