@@ -133,3 +133,25 @@ def test_descendants_and_closure_of_random_graphs(spark, seed):
     assert below == {pair: d for pair, d in related.items() if pair[1] in seeds and pair[0] != pair[1]}
     rows = H.closure(edges).collect()
     assert {(r.node, r.ancestor): r.depth for r in rows} == related and len(rows) == len(related)
+
+
+def looped_heap(size):
+    """A binary heap in which some nodes point at their neighbour: two such neighbours form a cycle."""
+    chance = random.Random(5)
+    return {n: n ^ 1 if chance.random() < 0.3 else (n - 1) // 2 for n in range(1, size)}
+
+
+def test_cycles_of_a_bushy_forest_are_sought_among_few_nodes(spark, monkeypatch):
+    parent = looped_heap(1200)
+    edges, _ = frames(spark, parent, [])
+    jumped = []
+    written = H.counted
+
+    def counted(df, label="step"):
+        table, size = written(df, label)
+        jumped.append(size if label == "jumps" else 0)
+        return table, size
+
+    monkeypatch.setattr(H, "counted", counted)
+    assert {r.node for r in H.find_cycles(edges).collect()} == brute(parent, [])[1]
+    assert sum(jumped) < len(parent)
