@@ -155,3 +155,20 @@ def test_cycles_of_a_bushy_forest_are_sought_among_few_nodes(spark, monkeypatch)
     monkeypatch.setattr(H, "counted", counted)
     assert {r.node for r in H.find_cycles(edges).collect()} == brute(parent, [])[1]
     assert sum(jumped) < len(parent)
+
+
+def test_closure_of_chains_that_lead_into_cycles_writes_no_more_pairs_than_it_gives(spark, monkeypatch):
+    parent = looped_heap(600)
+    edges, _ = frames(spark, parent, [])
+    written = []
+
+    class Counted(H.Rounds):
+        def add(self, df, **figures):
+            written.append(super().add(df, **figures))
+            return written[-1]
+
+    monkeypatch.setattr(H, "Rounds", Counted)
+    rows = H.closure(edges).collect()
+    related = brute(parent, [])[2]
+    assert {(r.node, r.ancestor): r.depth for r in rows} == related and len(rows) == len(related)
+    assert sum(written) <= len(rows)

@@ -172,53 +172,52 @@ def closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
     distance; ``in_cycle`` marks the pair of such a node with itself. ``with_path`` adds the chain of nodes
     from the node to the ancestor.
     """
-    return _closure(_written_edges(edges).withColumn("length", F.lit(1).cast("bigint")), with_path).drop("distance")
+    return _closure(_written_edges(edges), with_path)
 
 
 def _closure(edges: DataFrame, with_path: bool = False) -> DataFrame:
-    """As ``closure``, over written ``edges(child, parent, length)``; ``distance`` is the sum of the lengths on the way."""
+    """As ``closure``, over written ``edges(child, parent)``; with a column ``length``, also ``distance``, the lengths on the way together."""
+    cycles = find_cycles(edges)
+    pairs = _proper(edges, with_path) if cycles.isEmpty() else _around(edges, cycles, with_path)
+    return pairs.withColumn("in_cycle", F.col("node") == F.col("ancestor"))
+
+
+def _proper(edges: DataFrame, with_path: bool) -> DataFrame:
+    """Pairs of written ``edges`` without cycles. Columns of ``edges`` that begin with ``_`` are handed down to all pairs with that ancestor."""
     known = Rounds(edges.sparkSession, "pairs")
-    at_reach = known.add(_as_pairs(edges, with_path))
+    known.add(_as_pairs(edges, with_path))
     reach = 1
     for _ in range(ROUND_LIMIT):
         outermost = known.all().filter(F.col("depth") == reach)
         reach *= 2
         known.add(_extend(outermost, known.all()), at_reach=F.count_if(F.col("depth") == reach))
-        remaining = known.seen["at_reach"]
-        if remaining in (0, at_reach):
-            break
-        at_reach = remaining
-    else:
-        raise NoConvergence("closure did not settle")
-    pairs = known.all()
-    if remaining:
-        # As in leading_into_cycles: a reach that no node falls short of any more means that none ever will.
-        trapped = pairs.filter(F.col("depth") == reach).select("node").distinct()
-        inside = materialize(edges.join(trapped, F.col("child") == F.col("node"), "left_semi"), "inside")
-        pairs = pairs.join(trapped, "node", "left_anti").unionByName(_around(inside, with_path))
-    return pairs.withColumn("in_cycle", F.col("node") == F.col("ancestor"))
+        if not known.seen["at_reach"]:
+            return known.all()
+    raise NoConvergence("closure did not settle")
 
 
 def _as_pairs(edges: DataFrame, with_path: bool) -> DataFrame:
-    columns = [F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"), F.col("length").alias("distance")]
+    columns = [F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")]
+    if "length" in edges.columns:
+        columns.append(F.col("length").alias("distance"))
     if with_path:
         columns.append(F.array("child", "parent").alias("path"))
-    return edges.select(*columns)
+    return edges.select(*columns, *[c for c in edges.columns if c.startswith("_")])
 
 
 def _extend(lower: DataFrame, upper: DataFrame) -> DataFrame:
     """Pairs of ``lower`` carried on from their ancestor by the pairs of ``upper``."""
     carried = upper.select(*[F.col(c).alias(f"_up_{c}") for c in upper.columns])
-    columns = [
-        F.col("node"),
-        F.col("_up_ancestor").alias("ancestor"),
-        (F.col("depth") + F.col("_up_depth")).alias("depth"),
-        (F.col("distance") + F.col("_up_distance")).alias("distance"),
-    ]
+    columns = [F.col("node"), F.col("_up_ancestor").alias("ancestor"), (F.col("depth") + F.col("_up_depth")).alias("depth")]
+    if "distance" in lower.columns:
+        columns.append((F.col("distance") + F.col("_up_distance")).alias("distance"))
     if "path" in lower.columns:
         tail = F.slice(F.col("_up_path"), F.lit(2), F.size("_up_path"))
         columns.append(F.concat("path", tail).alias("path"))
-    return lower.join(carried, F.col("ancestor") == F.col("_up_node")).select(*columns)
+    columns += [F.col(f"_up_{c}").alias(c) for c in lower.columns if c.startswith("_")]
+    # Of the lower pairs only these columns are read, so nothing more is shuffled.
+    read = [c for c in lower.columns if not c.startswith("_")]
+    return lower.select(*read).join(carried, F.col("ancestor") == F.col("_up_node")).select(*columns)
 
 
 def rings(edges: DataFrame) -> DataFrame:
@@ -228,8 +227,12 @@ def rings(edges: DataFrame) -> DataFrame:
     of the cycle; ``way`` and ``round`` are the same in lengths of ``edges(child, parent, length)``. From a node to another one
     of its cycle it is ``place - place`` steps, modulo the size. Rounds: about log2 of the longest cycle.
     """
-    nodes = find_cycles(edges)
-    inside = materialize(edges.join(nodes, F.col("child") == F.col("node"), "left_semi").select("child", "parent", "length"), "ring")
+    return _rings(edges, find_cycles(edges))
+
+
+def _rings(edges: DataFrame, cycles: DataFrame) -> DataFrame:
+    """``rings`` of ``edges`` whose ``cycles(node)`` are known."""
+    inside = materialize(edges.join(cycles, F.col("child") == F.col("node"), "left_semi").select("child", "parent", "length"), "ring")
     # The least of the 2**k nodes from each one on; when a round changes none, every window has the least of its cycle.
     lows = inside.select("child", F.col("parent").alias("at"), F.col("child").alias("low"))
     for _ in range(ROUND_LIMIT):
@@ -255,15 +258,21 @@ def rings(edges: DataFrame) -> DataFrame:
     return placed.join(whole, "ring").select("node", "ring", "place", "size", "way", "round")
 
 
-def _around(edges: DataFrame, with_path: bool) -> DataFrame:
-    """Closure of nodes whose chains never end: tails by composing, pairs with a cycle's nodes from their places on it."""
-    placed = materialize(rings(edges), "rings")
-    tails = edges.join(placed, F.col("child") == F.col("node"), "left_anti")
+def _around(edges: DataFrame, cycles: DataFrame, with_path: bool) -> DataFrame:
+    """Closure of ``edges`` with ``cycles(node)``: chains up to where they meet a cycle by composing, pairs with its nodes from their places on it."""
+    far = "length" in edges.columns
+    lengths = edges if far else edges.withColumn("length", F.lit(1).cast("bigint"))
+    placed = materialize(_rings(lengths, cycles), "rings")
+    entries = placed.select(F.col("node").alias("parent"), F.lit(True).alias("_met"))
     # The edges of cycle nodes are left out here, so every chain ends where it meets its cycle.
-    proper = materialize(_closure(materialize(tails, "tails"), with_path).drop("in_cycle"), "proper")
-    path = [F.array("node").alias("path")] if with_path else []
-    entered = proper.join(placed.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").unionByName(
-        placed.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("distance"), *path)
+    tails = edges.join(cycles, F.col("child") == F.col("node"), "left_anti").join(entries, "parent", "left").select(
+        *edges.columns, F.coalesce("_met", F.lit(False)).alias("_entry")
+    )
+    proper = _proper(materialize(tails, "tails"), with_path)
+    own = [F.lit(0).cast("bigint").alias("distance")] if far else []
+    own += [F.array("node").alias("path")] if with_path else []
+    entered = proper.filter("_entry").drop("_entry").unionByName(
+        placed.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"), *own)
     )
     start = placed.select(F.col("node").alias("ancestor"), "ring", *[F.col(c).alias(f"_{c}") for c in ("place", "way")])
     steps, way = F.pmod(F.col("_place") - F.col("place"), F.col("size")), F.pmod(F.col("_way") - F.col("way"), F.col("round"))
@@ -272,8 +281,9 @@ def _around(edges: DataFrame, with_path: bool) -> DataFrame:
     met = entered.join(start, "ancestor").join(placed.withColumnRenamed("node", "_met"), "ring").filter(~back | (F.col("depth") == 0))
     columns = [
         F.col("node"), F.col("_met").alias("ancestor"), (F.col("depth") + F.when(back, F.col("size")).otherwise(steps)).cast("int").alias("depth"),
-        (F.col("distance") + F.when(back, F.col("round")).otherwise(way)).alias("distance"),
     ]
+    if far:
+        columns.append((F.col("distance") + F.when(back, F.col("round")).otherwise(way)).alias("distance"))
     if with_path:
         # As long as the longest path asked for: the cycle twice over, in the direction of the parents.
         ordered = F.transform(F.sort_array(F.collect_list(F.struct("place", "node")), asc=False), lambda x: x["node"])
@@ -282,7 +292,7 @@ def _around(edges: DataFrame, with_path: bool) -> DataFrame:
         taken = F.when(back, F.col("size")).otherwise(steps).cast("int")
         twice = F.concat("_ring", "_ring")
         columns.append(F.concat("path", F.slice(twice, (F.col("size") - F.col("_place") + 1).cast("int"), taken)).alias("path"))
-    return proper.unionByName(met.select(*columns))
+    return proper.drop("_entry").unionByName(met.select(*columns))
 
 
 # -- nearest marked ancestor and descendants ---------------------------------------------------------------------
