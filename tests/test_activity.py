@@ -110,3 +110,20 @@ def test_a_store_with_counts_syncs_the_same_groups(spark, tmp_path):
     assert {r.group_id: (r.parent_group_id, r.direct, r.below) for r in store.read(COUNTS).collect()} == {
         1: (None, 3, 9), 2: (1, 0, 2), 3: (2, 2, 2), 4: (1, 2, 2), 5: (1, 2, 2)
     }
+
+
+def test_a_count_of_a_bushy_forest_writes_its_rows_about_twice(spark, monkeypatch):
+    parent = {n: (n - 1) // 2 if n else None for n in range(600)} | {700: 701, 701: 700, 702: 700, 703: 703, 704: 999}
+    direct = dict.fromkeys(range(0, 705, 3), 2)
+    written = []
+    measured = A.measured
+
+    def counted(df, label, **figures):
+        table, seen = measured(df, label, **figures)
+        written.append(seen["rows"])
+        return table, seen
+
+    monkeypatch.setattr(A, "measured", counted)
+    direct = {k: n for k, n in direct.items() if k in parent}
+    assert as_dict(A.count_activity(*frames(spark, parent, direct))) == expected(parent, direct)
+    assert sum(written) <= 2.5 * len(parent)
