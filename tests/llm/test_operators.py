@@ -268,3 +268,28 @@ def test_sharding_of_tables_full_of_copies(rows):
         pairs = sharding.cut(got).first()
         assert pairs["cut"] <= bound * pairs["pairs"], (size, pairs)
     assert sharding.quotas({(0, 1): 5, (1, 2): 4, (2, 0): 3, (1, 0): 2}, {0: 0, 1: 0, 2: 0}) == {(0, 1): 5, (1, 2): 3, (2, 0): 3, (1, 0): 2}
+
+
+def test_license_scan_loses_no_pair_of_block_and_template(rows):
+    long = " ".join(f"term{k}" for k in range(49))
+    texts = {
+        1: "This work is licensed under the GNU General Public License, version", 2: "GNU General Public License version", 3: "x " * 40 + long,
+        4: "redistributions and use in source and binary forms with or without modification are permitted", 5: "released under the mit licence",
+        6: "y " * 22 + "this work is licensed under the gnu general public license version 2",
+    }
+    docs = rows("doc_id long, text string", *texts.items())
+    own = {"own": [long], "two": ["a b c d e"]}
+    for templates in (license_scan.TEMPLATES, own):
+        meant = set()
+        stride = max(16, *(len(t.split()) for ts in templates.values() for t in ts))
+        for i, text in texts.items():
+            w = re.findall("[a-z0-9]+", lower(text))
+            for block, k in enumerate(range(0, max(len(w) - stride - 1, 0) + 1, stride)):
+                held = set(w[k:k + 2 * stride])
+                meant |= {(i, block, x) for x, ts in templates.items() for t in ts if len(held & set(t.split())) >= 0.8 * len(set(t.split()))}
+        found = license_scan.matches(docs, None if templates is license_scan.TEMPLATES else templates)
+        assert {(r.doc_id, r.block, r.label) for r in found.collect()} == meant and meant
+    labels = {r.doc_id: r.labels for r in license_scan.scan(docs).collect()}
+    # Without its number a notice of either version is no sign of one; what a block cuts is decided by its neighbour.
+    assert labels == {1: "gpl-3", 2: "", 3: "", 4: "bsd", 5: "mit", 6: "gpl-2"}
+    assert {r.doc_id: r.labels for r in license_scan.scan(docs, own).collect()}[3] == "own"
