@@ -293,3 +293,32 @@ def test_license_scan_loses_no_pair_of_block_and_template(rows):
     # Without its number a notice of either version is no sign of one; what a block cuts is decided by its neighbour.
     assert labels == {1: "gpl-3", 2: "", 3: "", 4: "bsd", 5: "mit", 6: "gpl-2"}
     assert {r.doc_id: r.labels for r in license_scan.scan(docs, own).collect()}[3] == "own"
+
+
+def test_context_mixing_predicts_the_word_and_not_only_its_first_letters(rows):
+    held = [k for k in range(400) if crc32(str(k).encode()) % 5 == 1][:4]
+    said = [f"{a} {b}" for a, b in (("red", "xyone"), ("blue", "xytwo"), ("green", "xythree"), ("grey", "xyfour"))]
+    texts = {k: " ".join([said[k % 4], said[k // 4 % 4]] * 3) for k in range(400)}
+    other = ["red xytwo", "blue xyone", "green xyfour", "grey xythree"]
+    texts |= {held[0]: " ".join(said), held[1]: " ".join(other), held[2]: "nobody said this", held[3]: None}
+    got = {r.doc_id: r for r in context_mixing.scored(rows("doc_id long, text string", *texts.items())).collect()}
+    true, turned = got[held[0]], got[held[1]]
+    assert abs(true.base_score - turned.base_score) < 1e-9
+    # The same words after others than in training: each is far less likely.
+    assert true.score > turned.score + 2 and true.score > true.base_score
+    assert got[held[2]].score < true.score and got[held[3]].n_tokens == 1
+
+
+def test_bits_of_a_group_share_one_probability():
+    counts = context_mixing.np.array([3, 0, 0, 7] + [0] * 11 + [40], dtype="int64")
+    node = context_mixing.logits(counts) / context_mixing.SCALE
+    total = 0
+    for leaf in range(16):
+        p = 1.0
+        for depth in range(4):
+            one = 1 / (1 + 2.718281828459045 ** -node[(1 << depth) + (leaf >> (4 - depth))])
+            p *= one if leaf >> (3 - depth) & 1 else 1 - one
+        total += p
+    assert abs(total - 1) < 1e-9
+    table = {packed[0]: packed for packed in context_mixing._packed(context_mixing.np.repeat(context_mixing.np.uint32([0, 300]), context_mixing.PIECE))}
+    assert set(table) == {1} and len(table[1][2]) == 2 * context_mixing.PIECE

@@ -1,11 +1,12 @@
 """Language-model scoring by online logistic context mixing.
 
-A token is coded as the bits of its class (six bits, from its first two bytes) and then as itself within its class. The bits
-are predicted by mixing: for each hashed context (none, one, two and three classes before, the word before) a predictor holds
-how often each bit followed in training texts; their logits are combined by weights gated by the bit's depth, and each
-text refines its own weights as it is read, after every block of tokens, along the gradient of coding cost. Within
-its class a token has its smoothed share of the class's training tokens. Together this is a probability for every
-text, hence total bits, and bits per byte.
+A token is coded as the bits of its code, 20 bits of the hash of the whole word, and then as itself among the words of that code. Every
+bit is predicted by mixing: for each hashed context (none, the first bytes of the two words before, the word before, the one before that,
+both, and three words before) a predictor holds how often each bit followed in training texts after the same first bits; their logits
+are combined by weights gated by the bit's place in the code, and each text refines its own weights as it is read, after every block of
+tokens, along the gradient of coding cost. Codes are shared by few words, so that these bits tell the word; among the words of
+its code a token has its smoothed share of their training tokens. Together this is a probability for every text, hence total bits, and bits
+per byte.
 
 Counts of tokens are exact over all training texts: combined in tasks, summed by a shuffle, whatever their number. The
 predictors' tables have a fixed size (contexts are hashed), and are summed over all training texts. To score, the words
@@ -24,28 +25,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm import sketch, words as W
+from tidemark.llm import words as W
 from tidemark.scratch import materialize, measured
 
-BITS, CLASSES = 6, 64
-END_CLASS = CLASSES - 1
+#: A code is five groups of four bits. A row of a predictor counts the sixteen values of a group, after the groups before and the context.
+BITS, LEAVES, GROUPS = 4, 16, 5
+CODE_BITS = BITS * GROUPS
+CLASSES = 63
 END_HASH = np.uint64(0x5BD1E9955BD1E995)
-#: Rows of each predictor's table: no context, one, two, three classes, one word before. Fixed whatever the corpus.
-ROWS = (1, 128, 1 << 13, 1 << 14, 1 << 14)
+#: Rows of each predictor's table: without context one for every beginning of a code, the others hashed. Fixed whatever the corpus.
+PLAIN = np.concatenate([[0], np.cumsum(LEAVES ** np.arange(GROUPS))])
+ROW_BITS = 17
+ROWS = (70656, *[1 << ROW_BITS] * 5)
 FIRST = np.concatenate([[0], np.cumsum(ROWS)])
-COUNTERS = int(FIRST[-1]) * CLASSES
+COUNTERS = int(FIRST[-1]) * LEAVES
+#: Counters that travel together, with whole rows; steps of a logit in the table; largest logit.
+PIECE = 1 << 14
+SCALE, MOST = 16, 127
 #: Weights at a text's start, one for each predictor; tokens after which a text's weights are refined; by how much.
-START = np.array([0.15, 0.25, 0.3, 0.2, 0.35])
+START = np.array([0.8, 0.1, 0.2, 0.1, 0.2, 0.3])
 BLOCK = 32
 RATE = 0.02
 PRIOR = 0.4
+#: Texts whose blocks are worked on at once.
+LANES = 256
 #: Slots of the table of frequent words that every task gets: 16 bytes each.
 SLOTS = 1 << 18
 CHUNK_BYTES = 1 << 21
 
 
 class Tokens:
-    """The tokens of a chunk of texts: hash, class and position, each text's end included."""
+    """The tokens of a chunk of texts: hash, code and position, each text's end included."""
 
     def __init__(self, texts: pa.Array):
         words = W.split(texts, W.BLANKS)
@@ -54,102 +64,157 @@ class Tokens:
         at = np.arange(n) + words.doc
         self.hash = np.full(n + docs, END_HASH, np.uint64)
         self.hash[at] = words.hash
+        self.code = code_of(self.hash)
         second = words.data[np.minimum(words.start + 1, max(len(words.data) - 1, 0))] * (words.end - words.start > 1)
         lead = (words.data[words.start].astype(np.uint64) << np.uint64(8)) | second.astype(np.uint64)
-        self.cls = np.full(n + docs, END_CLASS, np.int64)
-        self.cls[at] = (W.mix(lead + np.uint64(1)) % np.uint64(CLASSES - 1)).astype(np.int64)
+        self.cls = np.full(n + docs, CLASSES, np.uint64)
+        self.cls[at] = W.mix(lead + np.uint64(1)) % np.uint64(CLASSES)
         self.doc = np.repeat(np.arange(docs), np.diff(self.first))
         self.place = np.arange(n + docs) - self.first[self.doc]
 
     def contexts(self) -> list[np.ndarray]:
-        """Per predictor: the table row of each token."""
-        total = len(self.cls)
-        before = []
-        for k in (1, 2, 3):
-            own = np.full(total, CLASSES, np.uint64)
-            own[k:] = np.where(self.place[k:] >= k, self.cls[:-k], CLASSES)
-            before.append(own)
-        word = np.zeros(total, np.uint64)
-        word[1:] = np.where(self.place[1:] > 0, self.hash[:-1], 0)
-        one, two, three = before
-        pair = one * np.uint64(65) + two
-        keys = [np.zeros(total, np.uint64), one, W.mix(pair), W.mix(pair * np.uint64(65) + three + np.uint64(7)), W.mix(word)]
-        return [(key % np.uint64(rows)).astype(np.int64) + first for key, rows, first in zip(keys, ROWS, FIRST[:-1], strict=True)]
+        """A hash of each context of every token, but the empty one."""
+
+        def before(values: np.ndarray, k: int) -> np.ndarray:
+            own = np.zeros(len(values), np.uint64)
+            own[k:] = np.where(self.place[k:] >= k, values[:-k] + np.uint64(1), np.uint64(0))
+            return own
+
+        one, two, three = (before(self.hash, k) for k in (1, 2, 3))
+        coarse = before(self.cls, 1) * np.uint64(65) + before(self.cls, 2)
+        pair = W.mix(one) + two
+        return [W.mix(x) for x in (coarse, one, two ^ np.uint64(0x9E3779B97F4A7C15), pair, W.mix(pair) + three)]
+
+    def groups(self) -> np.ndarray:
+        """The groups of bits of each code."""
+        return (self.code[:, None] >> np.arange(CODE_BITS - BITS, -1, -BITS)) & (LEAVES - 1)
+
+    def rows(self, predictor: int, context: np.ndarray | None) -> Iterator[np.ndarray]:
+        """Per group of bits: the row of each token in a predictor's table."""
+        for k in range(GROUPS):
+            begun = self.code >> (CODE_BITS - BITS * k)
+            if context is None:
+                yield PLAIN[k] + begun
+            else:
+                marked = (begun + (1 << BITS * k)).astype(np.uint64)
+                hashed = (context + marked * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC4CEB9FE1A85EC53)
+                yield FIRST[predictor] + (hashed >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+
+
+def code_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - CODE_BITS)).astype(np.int64)
+
+
+def _packed(table: np.ndarray) -> Iterator[tuple[int, bytes | None, bytes]]:
+    """A task's counters as rows, each count as narrow as its piece allows; pieces that are mostly zero travel as places and counts."""
+    for k in range(0, len(table), PIECE):
+        part = table[k:k + PIECE]
+        kind = np.min_scalar_type(part.max())
+        at = np.flatnonzero(part)
+        if len(at) * (2 + kind.itemsize) < PIECE * kind.itemsize:
+            if len(at):
+                yield k // PIECE, at.astype(np.uint16).tobytes(), part[at].astype(kind).tobytes()
+        else:
+            yield k // PIECE, None, part.astype(kind).tobytes()
+
+
+def _predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the pieces that meet in this task, and turn them into logits; memory is that of the table, however many tasks sent some."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, at, counts in zip(*(batch.column(name).to_pylist() for name in ("piece", "at", "counts")), strict=True):
+            into = held.setdefault(piece, np.zeros(PIECE, np.int64))
+            size = len(counts) // (PIECE if at is None else len(at) // 2)
+            found = np.frombuffer(counts, f"u{size}")
+            if at is None:
+                into += found
+            else:
+                into[np.frombuffer(at, np.uint16)] += found.astype(np.int64)
+    for piece, counts in held.items():
+        yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "logits": [logits(counts).tobytes()]})
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table, waiting, held = np.zeros(COUNTERS, np.int64), [], 0
+    table, waiting, held = np.zeros(COUNTERS, np.uint32), [], 0
 
     def out() -> Iterator[pa.RecordBatch]:
         if waiting:
-            h, c, k = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            values, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-            sums = np.bincount(inverse, weights=c).astype(np.int64)
-            size = len(values)
-            none = pa.nulls(size)
+            h, c = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            values, inverse = np.unique(h, return_inverse=True)
+            none = pa.nulls(len(values))
             yield pa.RecordBatch.from_arrays([
-                pa.array(W.signed(values)), pa.array(k[at]), pa.array(sums), none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()),
-            ], names=["word", "cls", "n", "piece", "at", "counts"])
+                pa.array(W.signed(values)), pa.array(np.bincount(inverse, weights=c).astype(np.int64)),
+                none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()),
+            ], names=["word", "n", "piece", "at", "counts"])
             waiting.clear()
 
     for batch in batches:
         for _, texts in W.chunks(batch, "text", CHUNK_BYTES):
             tokens = Tokens(texts)
-            values, at, counts = np.unique(tokens.hash, return_index=True, return_counts=True)
-            waiting.append((values, counts, tokens.cls[at]))
+            waiting.append(np.unique(tokens.hash, return_counts=True))
+            values = waiting[-1][0]
             held += len(values)
             if held > 1_000_000:
                 yield from out()
                 held = 0
-            places = np.concatenate([row * CLASSES + tokens.cls for row in tokens.contexts()])
-            table += np.bincount(places, minlength=COUNTERS)
+            groups = tokens.groups()
+            for predictor, context in enumerate([None, *tokens.contexts()]):
+                a, b = FIRST[predictor] * LEAVES, FIRST[predictor + 1] * LEAVES
+                places = np.concatenate([row * LEAVES + groups[:, k] - a for k, row in enumerate(tokens.rows(predictor, context))])
+                table[a:b] += np.bincount(places, minlength=b - a).astype(np.uint32)
     yield from out()
-    for piece, at, counts in sketch.pieces(table):
+    for piece, at, counts in _packed(table):
         none = pa.nulls(1).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([
-            none, none, none, pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([counts], pa.binary()),
-        ], names=["word", "cls", "n", "piece", "at", "counts"])
+            none, none, pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([counts], pa.binary()),
+        ], names=["word", "n", "piece", "at", "counts"])
 
 
 def logits(counts: np.ndarray) -> np.ndarray:
-    """Per context row and node of the tree over class bits: the logit of a one, from leaf counts."""
-    level = counts.reshape(-1, CLASSES).astype(np.float64)
-    out = np.zeros(level.shape, np.float32)
+    """Per row and node of the tree over a group's bits: the logit of a one, from leaf counts, in steps of 1 / SCALE."""
+    level = counts.reshape(-1, LEAVES).astype(np.float64)
+    out = np.zeros(level.shape, np.int8)
     for depth in reversed(range(BITS)):
         zero, one = level[:, 0::2], level[:, 1::2]
-        out[:, 1 << depth:2 << depth] = np.log((one + PRIOR) / (zero + PRIOR))
+        out[:, 1 << depth:2 << depth] = np.clip(np.rint(np.log((one + PRIOR) / (zero + PRIOR)) * SCALE), -MOST, MOST)
         level = zero + one
     return out.reshape(-1)
 
 
 def mixed(tokens: Tokens, table: np.ndarray) -> np.ndarray:
-    """Per text: natural logarithm of the probability of its classes."""
-    docs, total = len(tokens.first) - 1, len(tokens.cls)
+    """Per text: natural logarithm of the probability of its tokens' codes, every bit of them mixed."""
+    docs = len(tokens.first) - 1
     block = tokens.place // BLOCK
-    order = np.lexsort((np.arange(total), block))
-    rows = np.stack([row[order] * CLASSES for row in tokens.contexts()], axis=1)
-    cls, doc = tokens.cls[order], tokens.doc[order]
-    steps = np.searchsorted(block[order], np.arange(block.max() + 2 if total else 1))
-    weights = np.tile(START.astype(np.float32), (BITS, docs, 1))
+    order = np.argsort(block, kind="stable")
+    rows = np.empty((len(order), GROUPS, len(ROWS)), np.int32)
+    for predictor, context in enumerate([None, *tokens.contexts()]):
+        for k, row in enumerate(tokens.rows(predictor, context)):
+            rows[:, k, predictor] = row[order] * LEAVES
+    groups, doc, block = tokens.groups()[order].astype(np.int32), tokens.doc[order], block[order]
+    depth = np.arange(BITS, dtype=np.int32)
+    # A run is a text's block; a step takes runs of one block of up to LANES texts.
+    runs = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (block[1:] != block[:-1])))
+    ends = np.append(runs[1:], len(order))
+    starts = np.searchsorted(block[runs], np.arange(block[-1] + 2))
+    steps = [(k, min(k + LANES, int(b))) for a, b in zip(starts[:-1], starts[1:], strict=True) for k in range(int(a), int(b), LANES)]
+    weights = np.tile(START.astype(np.float32), (docs, CODE_BITS, 1))
     out = np.zeros(docs)
-    for a, b in zip(steps[:-1], steps[1:], strict=True):
-        who = doc[a:b]
-        heads = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-        texts, sizes = who[heads], np.diff(np.append(heads, b - a))
-        lane = np.repeat(np.arange(len(heads)), sizes)
-        cost = np.zeros(b - a)
-        for depth in range(BITS):
-            prefix = cls[a:b] >> (BITS - depth)
-            bit = (cls[a:b] >> (BITS - 1 - depth)) & 1
-            inputs = table[rows[a:b] + ((1 << depth) + prefix)[:, None]]
-            own = weights[depth, texts]
-            x = np.einsum("ij,ij->i", inputs, own[lane])
-            np.clip(x, -15, 15, out=x)
-            p = 1 / (1 + np.exp(-x))
-            cost += np.log(np.where(bit, p, 1 - p))
-            step = np.add.reduceat(inputs * (bit - p)[:, None].astype(np.float32), heads, axis=0)
-            weights[depth, texts] = own + RATE * step
-        out[texts] += np.add.reduceat(cost, heads)
+    for first, last in steps:
+        a, b = runs[first], ends[last - 1]
+        heads, texts = runs[first:last] - a, doc[runs[first:last]]
+        lane = np.repeat(np.arange(last - first), ends[first:last] - runs[first:last])
+        group = groups[a:b, :, None]
+        node = (1 << depth) + (group >> (BITS - depth))
+        bit = ((group >> (BITS - 1 - depth)) & 1).reshape(b - a, CODE_BITS)
+        inputs = np.take(table, rows[a:b, :, None, :] + node[..., None]).reshape(b - a, CODE_BITS, len(ROWS)).astype(np.float32)
+        inputs *= np.float32(1 / SCALE)
+        own = weights[texts]
+        x = np.einsum("tbp,tbp->tb", inputs, own[lane])
+        np.clip(x, -15, 15, out=x)
+        missed = 1 / (1 + np.exp(np.where(bit, x, -x)))
+        out[texts] += np.add.reduceat(np.log1p(-missed).sum(axis=1, dtype=np.float64), heads)
+        inputs *= np.where(bit, missed, -missed)[..., None]
+        weights[texts] = own + np.float32(RATE) * np.add.reduceat(inputs, heads, axis=0)
     return out
 
 
@@ -168,7 +233,7 @@ def _score_of(held):
                 hit = keys[slot] == tokens.hash
                 heads = tokens.first[:-1]
                 counted = np.add.reduceat(np.where(hit, logs[slot], 0.0), heads)
-                rest = np.add.reduceat(shares[tokens.cls], heads) + mixed(tokens, table) / np.log(10)
+                rest = np.add.reduceat(shares[tokens.code], heads) + mixed(tokens, table) / np.log(10)
                 miss = np.flatnonzero(~hit)
                 by = np.searchsorted(tokens.doc[miss], np.arange(len(texts) + 1))
                 rare, times = [], []
@@ -190,20 +255,24 @@ def scored(docs: DataFrame, parts: int = 5, held: int = 1) -> DataFrame:
     number = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0))
     texts = docs.select("doc_id", "text", (number % parts == held).alias("held_out"))
     learned = materialize(texts.filter("not held_out").select("text").mapInArrow(
-        _train, "word long, cls long, n long, " + sketch.ROWS
+        _train, "word long, n long, piece int, at binary, counts binary"
     ), "learned")
-    sums = learned.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c"), F.min("cls").alias("cls"))
+    sums = learned.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
     counts, seen = measured(sums, "counts", total=F.coalesce(F.sum("c"), F.lit(0)))
     n, v = seen["total"] or 0, seen["rows"]
-    shares = np.full(CLASSES, -np.log10(0.5))
-    for row in counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
-        shares[row["cls"]] = -np.log10(row["c"] + 0.5 * (row["v"] + 1))
+    shares = np.full(1 << CODE_BITS, -np.log10(0.5))
+    code = F.shiftrightunsigned("word", 64 - CODE_BITS).cast("int")
+    codes = counts.groupBy(code.alias("code")).agg((F.sum("c") + 0.5 * (F.count(F.lit(1)) + 1)).alias("all")).toArrow()
+    shares[codes.column("code").to_numpy()] = -np.log10(codes.column("all").to_numpy())
     top = counts.groupBy(F.shiftrightunsigned("word", 46).alias("slot")).agg(F.max(F.struct("c", "word")).alias("m")).select("slot", "m.c", "m.word").toArrow()
     keys, logs = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS)
     slots = top.column("slot").to_numpy()
     keys[slots] = top.column("word").to_numpy().view(np.uint64)
     logs[slots] = np.log10(top.column("c").to_numpy() + 0.5)
-    table = logits(sketch.total(learned.filter("piece is not null"), COUNTERS))
+    table = np.zeros(COUNTERS, np.int8)
+    pieces = learned.filter("piece is not null").select("piece", "at", "counts").repartition(64, "piece").mapInArrow(_predict, "piece int, logits binary")
+    for row in pieces.collect():
+        table[row["piece"] * PIECE:(row["piece"] + 1) * PIECE] = np.frombuffer(row["logits"], np.int8)
     shared = docs.sparkSession.sparkContext.broadcast((keys, logs, table, shares))
     rows = materialize(texts.mapInArrow(_score_of(shared), _SCORED).withColumn("uid", F.monotonically_increasing_id()), "scored")
     rare = rows.select("uid", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
