@@ -215,6 +215,35 @@ def test_substring_dedup_of_short_lines_and_of_long_sentences(rows):
     assert lost[21] >= 80
 
 
+def test_pipeline_hands_few_bytes_to_python_at_once(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    def probe(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    path = str(tmp_path / "documents.parquet")
+    spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('word', id, ' '), 1500)").alias("text")).coalesce(1).write.parquet(path)
+    before = {key: value for key, value in spark.conf.getAll.items() if key in corpus_pipeline.LIGHT}
+    try:
+        for _, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[-1:]:
+            for key in corpus_pipeline.LIGHT:
+                spark.conf.unset(key)
+            stage(spark, spark.read.parquet(path), str(tmp_path))
+            seen = spark.read.parquet(path).mapInArrow(probe, "rows long, bytes long").collect()
+            assert sum(r["rows"] for r in seen) == 2000
+            # About 25 MB of text in one task; a row more than 4 MB at most.
+            assert max(r["bytes"] for r in seen) < 5 << 20
+        key = next(iter(corpus_pipeline.LIGHT))
+        spark.conf.set(key, "1m")
+        corpus_pipeline.quality(spark, spark.read.parquet(path), str(tmp_path))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        for key in corpus_pipeline.LIGHT:
+            spark.conf.set(key, before[key]) if key in before else spark.conf.unset(key)
+
+
 def test_pipeline_keeps_rows_without_or_with_repeated_ids(spark, tmp_path):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
