@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
@@ -351,3 +352,52 @@ def test_bits_of_a_group_share_one_probability():
     assert abs(total - 1) < 1e-9
     table = {packed[0]: packed for packed in context_mixing._packed(context_mixing.np.repeat(context_mixing.np.uint32([0, 300]), context_mixing.PIECE))}
     assert set(table) == {1} and len(table[1][2]) == 2 * context_mixing.PIECE
+
+
+def _plain_mixed(words, logit):
+    """Bit by bit, in double precision: what mixed() says for one text."""
+    m = context_mixing
+    tokens = m.Tokens(pa.array([" ".join(words)]))
+    weights = m.np.tile(m.START, (m.CODE_BITS, 1))
+    total, slope = 0.0, m.np.zeros_like(weights)
+    spread = [None, *tokens.contexts]
+    for t, code in enumerate(int(c) for c in tokens.code):
+        for bit in range(m.CODE_BITS):
+            group, depth = divmod(bit, m.BITS)
+            begun, leaf = code >> (m.CODE_BITS - m.BITS * group), code >> (m.CODE_BITS - m.BITS * (group + 1)) & 15
+            inputs = []
+            for predictor, context in enumerate(spread):
+                row = int(m.PLAIN[group]) + begun
+                if predictor:
+                    mark = (begun + (1 << m.BITS * group)) * 0x9E3779B97F4A7C15 * 0xC4CEB9FE1A85EC53
+                    row = int(m.FIRST[predictor]) + ((int(context[t]) + mark) % (1 << 64) >> (64 - m.ROW_BITS))
+                inputs.append(logit[row * 16 + (1 << depth) + (leaf >> (m.BITS - depth))] / m.SCALE)
+            inputs, one = m.np.array(inputs), leaf >> (m.BITS - 1 - depth) & 1
+            p = 1 / (1 + m.np.exp(-m.np.clip(inputs @ weights[bit], -15, 15)))
+            total += m.np.log(p if one else 1 - p)
+            slope[bit] += inputs * (one - p)
+        if (t + 1) % m.BLOCK == 0:
+            weights += m.RATE * slope
+            slope[:] = 0
+    return total
+
+
+def test_mixing_in_steps_is_mixing_bit_by_bit():
+    m = context_mixing
+    table = m.np.random.default_rng(5).integers(-40, 41, m.COUNTERS).astype("int8")
+    texts = [[f"w{(k * k + n) % 23}" for k in range(n)] for n in (0, 1, 31, 32, 33, 63, 64, 100, 7, *[40] * 70)]
+    got = m.mixed(m.Tokens(pa.array([" ".join(t) for t in texts])), m.paths(table))
+    for words, total in list(zip(texts, got, strict=True))[:10]:
+        assert abs(total - _plain_mixed(words, table)) < 1e-5 * abs(total)
+
+
+def test_mixing_holds_no_row_numbers_and_inputs_of_a_whole_chunk():
+    m = context_mixing
+    told = m.paths(m.np.ones(m.COUNTERS, "int8"))
+    tokens = m.Tokens(pa.array([" ".join(f"w{k % 97}" for k in range(400))] * 600))
+    tracemalloc.start()
+    m.mixed(tokens, told)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Five contexts of eight bytes, and what it takes to make them; with every counter's number beside them it was 263 bytes a token.
+    assert peak < 180 * len(tokens.hash)

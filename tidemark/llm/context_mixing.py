@@ -20,6 +20,7 @@ without training texts every token is unknown.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ ROW_BITS = 17
 ROWS = (70656, *[1 << ROW_BITS] * 5)
 FIRST = np.concatenate([[0], np.cumsum(ROWS)])
 COUNTERS = int(FIRST[-1]) * LEAVES
+#: A row is the upper bits of (context + beginning * 0x9E3779B97F4A7C15) * SPREAD.
+SPREAD = np.uint64(0xC4CEB9FE1A85EC53)
+MARK = np.uint64(0x9E3779B97F4A7C15 * 0xC4CEB9FE1A85EC53 % (1 << 64))
 #: Counters that travel together, with whole rows; steps of a logit in the table; largest logit.
 PIECE = 1 << 14
 SCALE, MOST = 16, 127
@@ -47,11 +51,12 @@ START = np.array([0.8, 0.1, 0.2, 0.1, 0.2, 0.3])
 BLOCK = 32
 RATE = 0.02
 PRIOR = 0.4
-#: Texts whose blocks are worked on at once.
-LANES = 256
+#: Texts whose blocks are worked on at once, few enough for their numbers to stay in the processor's cache; rows of the table likewise.
+LANES = 32
+PATH_ROWS = 4096
 #: Slots of the table of frequent words that every task gets: 16 bytes each.
 SLOTS = 1 << 18
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 class Tokens:
@@ -72,8 +77,9 @@ class Tokens:
         self.doc = np.repeat(np.arange(docs), np.diff(self.first))
         self.place = np.arange(n + docs) - self.first[self.doc]
 
+    @cached_property
     def contexts(self) -> list[np.ndarray]:
-        """A hash of each context of every token, but the empty one."""
+        """A hash of each context of every token, but the empty one, spread over the rows of a table."""
 
         def before(values: np.ndarray, k: int) -> np.ndarray:
             own = np.zeros(len(values), np.uint64)
@@ -83,22 +89,23 @@ class Tokens:
         one, two, three = (before(self.hash, k) for k in (1, 2, 3))
         coarse = before(self.cls, 1) * np.uint64(65) + before(self.cls, 2)
         pair = W.mix(one) + two
-        return [W.mix(x) for x in (coarse, one, two ^ np.uint64(0x9E3779B97F4A7C15), pair, W.mix(pair) + three)]
-
-    def groups(self) -> np.ndarray:
-        """The groups of bits of each code."""
-        return (self.code[:, None] >> np.arange(CODE_BITS - BITS, -1, -BITS)) & (LEAVES - 1)
-
-    def rows(self, predictor: int, context: np.ndarray | None) -> Iterator[np.ndarray]:
-        """Per group of bits: the row of each token in a predictor's table."""
-        for k in range(GROUPS):
-            begun = self.code >> (CODE_BITS - BITS * k)
-            if context is None:
-                yield PLAIN[k] + begun
-            else:
-                marked = (begun + (1 << BITS * k)).astype(np.uint64)
-                hashed = (context + marked * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC4CEB9FE1A85EC53)
-                yield FIRST[predictor] + (hashed >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+        return [W.mix(x) * SPREAD for x in (coarse, one, two ^ np.uint64(0x9E3779B97F4A7C15), pair, W.mix(pair) + three)]
+
+    def places(self, at: np.ndarray | slice = slice(None)) -> Iterator[np.ndarray]:
+        """Per predictor: which of its counters the tokens ``at`` have, one for each group of bits (the first axis)."""
+        code = self.code[at]
+        apart = (-1,) + (1,) * code.ndim
+        begun = code >> np.arange(CODE_BITS, -1, -BITS).reshape(apart)
+        group = begun[1:] & (LEAVES - 1)
+        yield (PLAIN[:GROUPS].reshape(apart) + begun[:-1]) * LEAVES + group
+        marks = (begun[:-1] + (1 << BITS * np.arange(GROUPS)).reshape(apart)).astype(np.uint64) * MARK
+        for context in self.contexts:
+            row = marks + context[at]
+            row >>= np.uint64(64 - ROW_BITS - BITS)
+            row &= np.uint64(-LEAVES % (1 << 64))
+            own = row.view(np.int64)
+            own |= group
+            yield own
 
 
 def code_of(hashes: np.ndarray) -> np.ndarray:
@@ -157,11 +164,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held > 1_000_000:
                 yield from out()
                 held = 0
-            groups = tokens.groups()
-            for predictor, context in enumerate([None, *tokens.contexts()]):
-                a, b = FIRST[predictor] * LEAVES, FIRST[predictor + 1] * LEAVES
-                places = np.concatenate([row * LEAVES + groups[:, k] - a for k, row in enumerate(tokens.rows(predictor, context))])
-                table[a:b] += np.bincount(places, minlength=b - a).astype(np.uint32)
+            for part, places in zip(parts(table), tokens.places(), strict=True):
+                np.add.at(part, places.reshape(-1), np.uint32(1))
     yield from out()
     for piece, at, counts in _packed(table):
         none = pa.nulls(1).cast(pa.int64())
@@ -181,43 +185,80 @@ def logits(counts: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
-def mixed(tokens: Tokens, table: np.ndarray) -> np.ndarray:
-    """Per text: natural logarithm of the probability of its tokens' codes, every bit of them mixed."""
+def parts(table: np.ndarray) -> list[np.ndarray]:
+    """Each predictor's part of a table."""
+    return [table[a * LEAVES:b * LEAVES] for a, b in zip(FIRST[:-1], FIRST[1:], strict=True)]
+
+
+def paths(table: np.ndarray) -> np.ndarray:
+    """Per counter: the logits of its group's four bits, each for the bit being as it is there, in one number."""
+    leaf, depth = np.arange(LEAVES)[:, None], np.arange(BITS)
+    node = ((1 << depth) + (leaf >> (BITS - depth))).reshape(-1)
+    sign = np.where(leaf >> (BITS - 1 - depth) & 1, 1, -1).astype(np.int8).reshape(-1)
+    rows, out = table.reshape(-1, LEAVES), np.empty(len(table), np.uint32)
+    told = out.view(np.int8).reshape(-1, LEAVES * BITS)
+    for k in range(0, len(rows), PATH_ROWS):
+        np.multiply(rows[k:k + PATH_ROWS].take(node, axis=1), sign, out=told[k:k + PATH_ROWS])
+    return out
+
+
+def mixed(tokens: Tokens, told: np.ndarray) -> np.ndarray:
+    """Per text: natural logarithm of the probability of its tokens' codes, every bit of them mixed; ``told`` is from ``paths``."""
     docs = len(tokens.first) - 1
-    block = tokens.place // BLOCK
-    order = np.argsort(block, kind="stable")
-    rows = np.empty((len(order), GROUPS, len(ROWS)), np.int32)
-    for predictor, context in enumerate([None, *tokens.contexts()]):
-        for k, row in enumerate(tokens.rows(predictor, context)):
-            rows[:, k, predictor] = row[order] * LEAVES
-    groups, doc, block = tokens.groups()[order].astype(np.int32), tokens.doc[order], block[order]
-    depth = np.arange(BITS, dtype=np.int32)
-    # A run is a text's block; a step takes runs of one block of up to LANES texts.
-    runs = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (block[1:] != block[:-1])))
-    ends = np.append(runs[1:], len(order))
-    starts = np.searchsorted(block[runs], np.arange(block[-1] + 2))
+    # A run is a text's block; a step takes runs of one block of up to LANES texts, long ones first.
+    runs = np.flatnonzero(tokens.place % BLOCK == 0)
+    size, block = np.diff(np.append(runs, len(tokens.place))), tokens.place[runs] // BLOCK
+    order = np.lexsort((-size, block))
+    runs, size, block = runs[order], size[order], block[order]
+    starts = np.searchsorted(block, np.arange(block[-1] + 2))
     steps = [(k, min(k + LANES, int(b))) for a, b in zip(starts[:-1], starts[1:], strict=True) for k in range(int(a), int(b), LANES)]
-    weights = np.tile(START.astype(np.float32), (docs, CODE_BITS, 1))
-    out = np.zeros(docs)
+    # Axes: predictor, group, token of the run, text, bit of the group. Steps use the same memory again.
+    weights = np.empty((len(ROWS), GROUPS, docs, BITS), np.float32)
+    weights[:] = START.reshape(-1, 1, 1, 1)
+    space = np.empty((2, len(ROWS), GROUPS * BLOCK * LANES * BITS), np.float32)
+    out, told = np.zeros(docs), parts(told)
     for first, last in steps:
-        a, b = runs[first], ends[last - 1]
-        heads, texts = runs[first:last] - a, doc[runs[first:last]]
-        lane = np.repeat(np.arange(last - first), ends[first:last] - runs[first:last])
-        group = groups[a:b, :, None]
-        node = (1 << depth) + (group >> (BITS - depth))
-        bit = ((group >> (BITS - 1 - depth)) & 1).reshape(b - a, CODE_BITS)
-        inputs = np.take(table, rows[a:b, :, None, :] + node[..., None]).reshape(b - a, CODE_BITS, len(ROWS)).astype(np.float32)
-        inputs *= np.float32(1 / SCALE)
-        own = weights[texts]
-        x = np.einsum("tbp,tbp->tb", inputs, own[lane])
+        n, texts = size[first:last], tokens.doc[runs[first:last]]
+        turn = np.arange(n[0])[:, None]
+        at = runs[first:last] + np.minimum(turn, n - 1)
+        inputs, sums = space[:, :, :GROUPS * at.size * BITS].reshape(2, len(ROWS), GROUPS, *at.shape, BITS)
+        for predictor, places in enumerate(tokens.places(at)):
+            inputs[predictor] = told[predictor].take(places).view(np.int8).reshape(inputs.shape[1:])
+        own = weights[:, :, texts]
+        # In the order in which numpy's ``einsum`` adds up six products.
+        np.multiply(inputs, own[:, :, None], out=sums)
+        sums[:2] += sums[4:]
+        sums[0:4:2] += sums[1:4:2]
+        x = sums[0] + sums[2]
+        x *= np.float32(1 / SCALE)
         np.clip(x, -15, 15, out=x)
-        missed = 1 / (1 + np.exp(np.where(bit, x, -x)))
-        out[texts] += np.add.reduceat(np.log1p(-missed).sum(axis=1, dtype=np.float64), heads)
-        inputs *= np.where(bit, missed, -missed)[..., None]
-        weights[texts] = own + np.float32(RATE) * np.add.reduceat(inputs, heads, axis=0)
+        missed = 1 / (1 + np.exp(x))
+        cost = np.log1p(-missed).sum(axis=0, dtype=np.float64)
+        if n[-1] < n[0]:
+            cost[turn >= n] = 0
+        out[texts] += cost.sum(axis=0).sum(axis=1)
+        # Only a text's last run is shorter, and there is nothing to refine weights for after it.
+        full = int(np.searchsorted(-n, -BLOCK, side="right"))
+        if full:
+            inputs *= missed
+            weights[:, :, texts[:full]] = own[:, :, :full] + np.float32(RATE / SCALE) * _summed(inputs[:, :, :, :full])
     return out
 
 
+def _summed(slopes: np.ndarray) -> np.ndarray:
+    """Sums over the tokens of whole runs (axis 2), in the order in which numpy's ``reduceat`` adds up one run, so that scores stay the same."""
+    eights = (BLOCK - 1) // 8 * 8
+    some = slopes[:, :, 1:9] + slopes[:, :, 9:17]
+    for k in range(17, eights, 8):
+        some += slopes[:, :, k:k + 8]
+    while some.shape[2] > 1:
+        some = some[:, :, 0::2] + some[:, :, 1::2]
+    rest = some[:, :, 0]
+    for k in range(eights + 1, BLOCK):
+        rest += slopes[:, :, k]
+    return slopes[:, :, 0] + rest
+
+
 _SCORED = (
     "doc_id long, held_out boolean, n_tokens long, known long, counted double, rest double, n_bytes long, rare array<long>, rare_n array<long>"
 )
@@ -226,6 +267,7 @@ _SCORED = (
 def _score_of(held):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, table, shares = held.value
+        told = paths(table)
         for batch in batches:
             for part, texts in W.chunks(batch, "text", CHUNK_BYTES):
                 tokens = Tokens(texts)
@@ -233,7 +275,7 @@ def _score_of(held):
                 hit = keys[slot] == tokens.hash
                 heads = tokens.first[:-1]
                 counted = np.add.reduceat(np.where(hit, logs[slot], 0.0), heads)
-                rest = np.add.reduceat(shares[tokens.code], heads) + mixed(tokens, table) / np.log(10)
+                rest = np.add.reduceat(shares[tokens.code], heads) + mixed(tokens, told) / np.log(10)
                 miss = np.flatnonzero(~hit)
                 by = np.searchsorted(tokens.doc[miss], np.arange(len(texts) + 1))
                 rare, times = [], []
